@@ -8,11 +8,16 @@ all requested blobs out.
 from __future__ import annotations
 
 import json
+import sys
 import xml.etree.ElementTree as ET
 
 import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, functions as F
 
+# Workers get these functions with the task, so executors need no copy of the package.
+register_pickle_by_value(sys.modules[__name__])
+
 # Blob columns, comment types of the reduced profile, reference types that have
 # tables of their own.
 BLOBS = ("comments_data", "features_data", "db_references_data", "evidence_data")

@@ -267,6 +267,26 @@ def shred(parsed: DataFrame, tables: Iterable[str] = tuple(TABLES)) -> dict[str,
     return {t: SHREDDERS[t](parsed) for t in tables}
 
 
+def distinct_in_entry(parsed: DataFrame) -> DataFrame:
+    """Keep the first of names, keywords and ids that are repeated inside one entry.
+
+    Keys of the child tables start with the accession, so this row-local step makes them unique.
+    """
+
+    def first_by(array: str, field: str) -> Column:
+        keys = F.transform(array, lambda s: s[field])
+        return F.filter(array, lambda s, i: F.array_position(keys, s[field]) == i + 1)
+
+    return parsed.withColumns(
+        {
+            "secondary": F.array_distinct("secondary"),
+            "genes": first_by("genes", "gene_name"),
+            "keywords": first_by("keywords", "keyword_id"),
+            "go_ids": F.array_distinct("go_ids"),
+        }
+    )
+
+
 def invalid_json(proteins: DataFrame) -> DataFrame:
     """Rows of the protein table with a JSON column that does not parse."""
     bad = [F.when(~valid_json(F.col(c)), F.lit(c)) for c in TABLES["proteins"].json_columns]

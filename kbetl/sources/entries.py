@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import spread
+
 Paths = str | Sequence[str]
 
 # Columns that put entries of a union of datasets into file order.
@@ -44,9 +46,7 @@ def scan_fragments(
         "value",
         at.alias("at"),
     )
-    wanted = min_partitions or spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < wanted:
-        rows = rows.repartition(wanted, "ord")
+    rows = spread(rows, "ord", partitions=min_partitions)
     is_entry = F.col("at") > 0
     return rows.select(
         "dataset",

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import spread
+
 ROOT = "knowledgebase"
 XML_HEAD = f'<?xml version="1.0" encoding="UTF-8"?>\n<{ROOT} xmlns="http://example.org/kb">\n'
 XML_TAIL = f"\n</{ROOT}>\n"
@@ -30,33 +32,35 @@ def _case(condition: Column, *parts: Column | str) -> Column:
 
 
 def part_entries(part: DataFrame) -> DataFrame:
-    """``(key, raw_xml)``, one entry per part."""
+    """``(key, raw_xml)``, one entry per part; which parts an entry has depends on type and size."""
     k = F.col("p_partkey")
     key = k.cast("string")
     name, brand, kind = (escaped(F.col(c)) for c in ("p_name", "p_brand", "p_type"))
     size = F.col("p_size").cast("string")
-    go = _cat('<dbReference type="GO" id="GO:', size, '"/>')
+    has_name = F.col("p_type") != "PROMO"
     raw = _cat(
         '<entry dataset="part" created="2000-05-30" modified="2024-07-17" version="3">\n',
         "  <accession>P", key, "</accession>\n",
-        _case(k % 3 == 0, "  <accession>S", key, "</accession>\n"),
+        _case(F.col("p_type").isin("ECONOMY", "SMALL"), "  <accession>S", key, "</accession>\n"),
         "  <name>ID_", key, "</name>\n",
-        _case(k % 7 != 0, "  <protein><recommendedName><fullName evidence=\"1\">", name,
+        _case(has_name, '  <protein><recommendedName><fullName evidence="1">', name,
               "</fullName></recommendedName></protein>\n"),
-        _case(k % 7 == 0, "  <protein><submittedName><fullName>", name,
+        _case(~has_name, "  <protein><submittedName><fullName>", name,
               "</fullName></submittedName></protein>\n"),
         '  <gene><name type="primary">', brand, '</name><name type="synonym">', kind,
         '</name><name type="ORF">', name, "</name></gene>\n",
         '  <organism><name type="scientific">', kind, '</name><name type="common">other</name>',
         '<dbReference type="NCBI Taxonomy" id="', size, '"/>',
         "<lineage><taxon>", kind, "</taxon><taxon>", brand, "</taxon></lineage></organism>\n",
-        '  <comment type="', F.when(k % 2 == 0, "function").otherwise("miscellaneous"), '">',
-        "<text> about ", name, " </text>", _case(k % 5 == 0, go), "</comment>\n",
-        '  <dbReference type="PDB" id="', key, '"><property type="method" value="X"/></dbReference>\n',
-        _case((k % 2 == 0) & (k % 5 != 0), "  ", go, "\n"),
+        '  <comment type="', F.when(F.col("p_size") <= 25, "function").otherwise("miscellaneous"), '">',
+        "<text> about ", name, " </text>",
+        _case(F.col("p_type").isin("SMALL", "LARGE"), '<dbReference type="GO" id="GO:N', size, '"/>'),
+        "</comment>\n",
+        '  <dbReference type="PDB" id="', key, '"><property type="method" value="', kind, '"/></dbReference>\n',
+        _case(F.col("p_type").isin("ECONOMY", "LARGE"), '  <dbReference type="GO" id="GO:', size, '"/>\n'),
         '  <feature type="chain" description="', name, '"><location><begin position="', size,
         '"/></location>',
-        _case(k % 4 == 0, '<evidence key="1" type="ECO:', size, '"><source>s</source></evidence>'),
+        _case(F.col("p_size") > 10, '<evidence key="1" type="ECO:', size, '"><source>', brand, "</source></evidence>"),
         "</feature>\n",
         '  <keyword id="K', size, '">', kind, "</keyword>\n",
         '  <sequence length="', F.length("p_name").cast("string"), '" mass="', size, '">\n',
@@ -65,10 +69,13 @@ def part_entries(part: DataFrame) -> DataFrame:
     return part.select(k.alias("key"), raw.alias("raw_xml"))
 
 
-def document_entries(documents: DataFrame) -> DataFrame:
-    """``(key, raw_xml)``, one entry per document: the text is comment and sequence."""
+def document_entries(documents: DataFrame, escape: bool = True) -> DataFrame:
+    """``(key, raw_xml)``, one entry per document: the text is comment and sequence.
+
+    Without ``escape`` a text with markup characters makes its entry malformed.
+    """
     key = F.col("doc_id").cast("string")
-    text = escaped(F.col("text"))
+    text = escaped(F.col("text")) if escape else F.col("text")
     raw = _cat(
         '<entry dataset="documents" created="2010-10-12" modified="2024-07-18" version="1">\n',
         "  <accession>D", key, "</accession>\n",
@@ -124,3 +131,8 @@ def write_documents(entries: DataFrame, path: str, per_document: int = 100_000,
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table that feeds a parse, over all cores even if it is one small file."""
+    return spread(read_table(spark, sf_dir, name), key)
