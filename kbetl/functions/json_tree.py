@@ -25,38 +25,37 @@ STANDARD_COMMENT_TYPES = ("function", "disease", "subcellular location")
 TABULAR_REFERENCE_TYPES = ("GO", "NCBI Taxonomy")
 
 
-def tree(el: ET.Element) -> dict:
-    """{tag, attributes, text, children}; parts that are empty are left out."""
-    node = {
-        "tag": el.tag.rpartition("}")[2],
-        "attributes": dict(el.attrib),
-        "text": (el.text or "").strip(),
-        "children": [tree(child) for child in el],
-    }
-    return {part: value for part, value in node.items() if value}
+_encode = json.JSONEncoder(ensure_ascii=False, check_circular=False).encode
 
 
-def _select(entry: ET.Element, blob: str, standard: bool):
+def tree(el: ET.Element) -> dict:
+    """{tag, attributes, text, children}; parts that are empty are left out."""
+    node: dict = {"tag": el.tag.rpartition("}")[2]}
+    if el.attrib:
+        node["attributes"] = el.attrib
+    if el.text and (text := el.text.strip()):
+        node["text"] = text
+    if len(el):
+        node["children"] = [tree(child) for child in el]
+    return node
+
+
+def _members(entry: ET.Element, blob: str, standard: bool) -> list[ET.Element]:
+    """The elements a blob is made of. Tags are matched in the namespace of the entry itself."""
+    ns = entry.tag[: entry.tag.find("}") + 1]
     if blob == "comments_data":
-        return (
-            c
-            for c in entry.iterfind("{*}comment")
-            if not standard or c.get("type") in STANDARD_COMMENT_TYPES
-        )
+        comments = entry.findall(f"{ns}comment")
+        return [c for c in comments if c.get("type") in STANDARD_COMMENT_TYPES] if standard else comments
     if blob == "features_data":
-        return entry.iterfind("{*}feature")
+        return entry.findall(f"{ns}feature")
     if blob == "db_references_data":
-        return (
-            r
-            for r in entry.iterfind("{*}dbReference")
-            if r.get("type") not in TABULAR_REFERENCE_TYPES
-        )
-    return entry.iterfind(".//{*}evidence")
+        references = entry.findall(f"{ns}dbReference")
+        return [r for r in references if r.get("type") not in TABULAR_REFERENCE_TYPES]
+    return list(entry.iter(f"{ns}evidence"))
 
 
-def _to_json(elements) -> str | None:
-    nodes = [tree(el) for el in elements]
-    return json.dumps(nodes, ensure_ascii=False) if nodes else None
+def _to_json(elements: list[ET.Element]) -> str | None:
+    return _encode([tree(el) for el in elements]) if elements else None
 
 
 def entry_blobs(raw: Column, profile: str, blobs: tuple[str, ...] = BLOBS) -> Column:
@@ -74,11 +73,11 @@ def entry_blobs(raw: Column, profile: str, blobs: tuple[str, ...] = BLOBS) -> Co
             entry = None
             if text.is_valid:
                 try:
-                    entry = ET.fromstring(text.as_py())
+                    entry = ET.fromstring(text.as_buffer().to_pybytes())
                 except ET.ParseError:
                     pass
             for b in blobs:
-                out[b].append(None if entry is None else _to_json(_select(entry, b, standard)))
+                out[b].append(None if entry is None else _to_json(_members(entry, b, standard)))
         return pa.StructArray.from_arrays(
             [pa.array(out[b], pa.string()) for b in blobs], names=list(blobs)
         )

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.columns import valid_json
 from ..schemas import TABLES, Table
 
 
@@ -50,6 +51,15 @@ def length_violations(df: DataFrame, key: Sequence[str], limits: Mapping[str, in
     return df.where(too_long).select(*key, F.inline(F.array_compact(F.array(*checks))))
 
 
+def invalid_json(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """JSON text that does not parse: key columns, column_name."""
+    bad = {c: ~valid_json(F.col(c)) for c in columns}
+    named = [F.when(condition, F.lit(c)) for c, condition in bad.items()]
+    return df.where(_any(list(bad.values()))).select(
+        *key, F.explode(F.array_compact(F.array(*named))).alias("column_name")
+    )
+
+
 def fk_orphans(
     child: DataFrame, parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str]
 ) -> DataFrame:
@@ -103,6 +113,8 @@ def check_tables(tables: Mapping[str, DataFrame], specs: Mapping[str, Table] = T
         assert_primary_key(df, spec.key, name)
         if spec.max_length:
             assert_lengths(df, spec.key, spec.max_length, name)
+        if spec.json_columns:
+            require_none(invalid_json(df, spec.key, spec.json_columns), f"{name}: not JSON")
         for columns, parent, parent_columns in spec.references:
             if parent in tables:
                 assert_foreign_key(df, tables[parent], columns, parent_columns, name)

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.columns import conform, empty_to_null, first_of, flat, strict_cast, valid_json
+from ..functions.columns import conform, empty_to_null, first_of, flat, strict_cast
 from ..functions.json_tree import BLOBS, STANDARD_COMMENT_TYPES, entry_blobs
 from ..schemas import TABLES
 from ..sources.entries import FILE_ORDER
@@ -52,6 +52,12 @@ _NEEDS = {
 }
 
 
+def _occurrences(raw: Column, text: str) -> Column:
+    """How often a literal occurs."""
+    removed = F.replace(raw, F.lit(text), F.lit(""))
+    return (F.octet_length(raw) - F.octet_length(removed)) / len(text.encode())
+
+
 def _without_references(raw: Column) -> Column:
     """No character references, so literal text search sees every attribute value."""
     return ~raw.contains("&#")
@@ -65,9 +71,9 @@ def _tax_ref(raw: Column, organism: Column) -> Column:
     """
     path = f'(/entry/organism[1]//dbReference[@type="{TAXONOMY}"])[1]/@id'
     direct = first_of(F.filter(organism["dbReference"], lambda r: r["_type"] == TAXONOMY))
-    mentions = F.regexp_count(raw, F.lit(TAXONOMY))
+    mentions = _occurrences(raw, TAXONOMY)
     value = (
-        F.when((mentions == 0) & _without_references(raw), F.lit(None).cast("string"))
+        F.when(~raw.contains(TAXONOMY) & _without_references(raw), F.lit(None).cast("string"))
         .when((mentions == 1) & direct.isNotNull(), direct["_id"])
         .otherwise(F.xpath_string(raw, F.lit(path)))
     )
@@ -77,11 +83,13 @@ def _tax_ref(raw: Column, organism: Column) -> Column:
 def _go_ids(raw: Column, references: Column) -> Column:
     """Ids of GO references at any depth; the tree is only built if some are not direct children."""
     direct = F.filter(references, lambda r: r["_type"] == GO)
-    mentions = F.regexp_count(raw, F.lit(f"[\"']{GO}[\"']"))
-    all_direct = (mentions == F.coalesce(F.size(direct), F.lit(0))) & _without_references(raw)
-    ids = F.when(all_direct, F.transform(direct, lambda r: r["_id"])).otherwise(
-        F.xpath(raw, F.lit(f'//dbReference[@type="{GO}"]/@id'))
-    )
+    quoted = (f'"{GO}"', f"'{GO}'")
+    none = ~(raw.contains(quoted[0]) | raw.contains(quoted[1]))
+    mentions = _occurrences(raw, quoted[0]) + _occurrences(raw, quoted[1])
+    all_direct = none | (mentions == F.size(direct))
+    ids = F.when(
+        _without_references(raw) & all_direct, F.transform(direct, lambda r: r["_id"])
+    ).otherwise(F.xpath(raw, F.lit(f'//dbReference[@type="{GO}"]/@id')))
     return F.filter(ids, lambda i: i != "")
 
 
@@ -285,11 +293,3 @@ def distinct_in_entry(parsed: DataFrame) -> DataFrame:
             "go_ids": F.array_distinct("go_ids"),
         }
     )
-
-
-def invalid_json(proteins: DataFrame) -> DataFrame:
-    """Rows of the protein table with a JSON column that does not parse."""
-    bad = [F.when(~valid_json(F.col(c)), F.lit(c)) for c in TABLES["proteins"].json_columns]
-    return proteins.select(
-        "primary_accession", F.explode(F.array_compact(F.array(*bad))).alias("column_name")
-    )

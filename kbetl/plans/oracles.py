@@ -181,7 +181,8 @@ ORACLES: dict[str, str] = {
       from part
       union all
       select 'D' || doc_id, null, null, null from documents""",
-    "json_validity": f"select primary_accession, cast(0 as bigint) as n_invalid from ({_ENTRY_NAMES}) n",
+    "json_validity": "select event_id, 'props' as column_name from events where event_type = 'error'",
+    "json_tree_validity": f"select primary_accession, cast(0 as integer) as n_invalid from ({_ENTRY_NAMES}) n",
     "malformed_entries": """
       select doc_id, contains(text, '&') or contains(text, '<') as malformed from documents""",
     "duplicate_keys": """

@@ -12,6 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.columns import valid_json
 from ..operators import compare, delta, lookup, quality, shred as sh
 from ..operators.dedup import duplicates_removed, keep_first
 from ..session import scratch_dir
@@ -169,15 +170,6 @@ def json_tree_db_references(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query
-def json_validity(spark: SparkSession, sf: str) -> DataFrame:
-    proteins = sh.shred_proteins(parsed(spark, sf, "proteins"))
-    bad = sh.invalid_json(proteins).groupBy("primary_accession").agg(F.count(F.lit(1)).alias("n"))
-    return proteins.select("primary_accession").join(bad, "primary_accession", "left").select(
-        "primary_accession", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_invalid")
-    )
-
-
 # ---------------------------------------------------------------- quality
 
 
@@ -204,6 +196,25 @@ def length_violations(spark: SparkSession, sf: str) -> DataFrame:
     return quality.length_violations(docs, ["doc_id"], {"text": 4000, "source": 4})
 
 
+@query
+def json_validity(spark: SparkSession, sf: str) -> DataFrame:
+    """Event properties, cut off for errors."""
+    events = read_table(spark, sf, "events").select(
+        "event_id",
+        F.when(F.col("event_type") == "error", F.rtrim("props", F.lit("}"))).otherwise(F.col("props")).alias("props"),
+    )
+    return quality.invalid_json(events, ["event_id"], ["props"])
+
+
+@query
+def json_tree_validity(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of blobs per entry that are no JSON: none."""
+    proteins = sh.shred_proteins(parsed(spark, sf, "proteins"))
+    blobs = sh.TABLES["proteins"].json_columns
+    invalid = sum((F.when(valid_json(F.col(b)), 0).otherwise(1) for b in blobs), F.lit(0))
+    return proteins.select("primary_accession", invalid.alias("n_invalid"))
+
+
 @query
 def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
     orders = release(spark, sf)["prod"]["proteins"]
