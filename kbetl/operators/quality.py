@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import valid_json
 from ..schemas import TABLES, Table
+from ..sources.entries import incomplete_documents
 
 
 class QualityError(ValueError):
@@ -99,11 +100,13 @@ def assert_foreign_key(
     require_none(fk_orphans(child, parent, columns, parent_columns), f"{what}: no parent for {tuple(columns)}")
 
 
+def malformed(parsed: DataFrame) -> DataFrame:
+    """Positions of malformed entries; ``parsed`` comes from a permissive parse."""
+    return parsed.where("malformed").select("dataset", "file", "block", "ord")
+
+
 def assert_well_formed(parsed: DataFrame) -> None:
-    """``parsed`` comes from a permissive parse."""
-    require_none(
-        parsed.where("malformed").select("dataset", "file", "block", "ord"), "malformed entry at"
-    )
+    require_none(malformed(parsed), "malformed entry at")
 
 
 def check_tables(tables: Mapping[str, DataFrame], specs: Mapping[str, Table] = TABLES) -> None:
@@ -165,19 +168,25 @@ def entry_violations(parsed: DataFrame, on_duplicate: str = "fail") -> DataFrame
     )
 
 
-def check_entries(parsed: DataFrame, on_duplicate: str = "fail") -> None:
-    """All gates of a load on staged (written) parsed entries.
+def load_violations(parsed: DataFrame, on_duplicate: str = "fail") -> DataFrame:
+    """All gates of a load on staged (written) parsed entries, as (problem, at).
 
-    One shuffle, of accessions only. References need no check: every child row and every organism
-    row comes from an entry that has the parent row.
+    One job over a few narrow columns, one shuffle of accessions and one of file names.
+    References need no check: every child row and every organism row comes from an entry that has
+    the parent row.
     """
-    from ..sources.entries import incomplete_documents
-
-    assert_well_formed(parsed)
-    require_none(incomplete_documents(parsed), "document is cut off")
-    assert_unique(
-        parsed.where(F.col("primary_accession").isNotNull()),
-        ["primary_accession"],
-        "duplicate primary accession",
+    entries = parsed.where(F.col("primary_accession").isNotNull())
+    gates = {
+        "malformed entry": malformed(parsed),
+        "document is cut off": incomplete_documents(parsed),
+        "duplicate primary accession": duplicate_keys(entries, ["primary_accession"]),
+        "entry breaks a key or length rule": entry_violations(parsed, on_duplicate),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [df.select(F.lit(gate).alias("problem"), F.to_json(F.struct(*df.columns)).alias("at")) for gate, df in gates.items()],
     )
-    require_none(entry_violations(parsed, on_duplicate), "entry breaks a key or length rule")
+
+
+def check_entries(parsed: DataFrame, on_duplicate: str = "fail") -> None:
+    require_none(load_violations(parsed, on_duplicate), "release rejected")
