@@ -14,6 +14,7 @@ scan to the writer; the few values taken from the live side join as a small tabl
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -228,69 +229,70 @@ def apply_delta(
     sizes and does not compute them once per table.
     """
     key, natural = plan.key, plan.natural_key
+    live_parent, staged_parent = prod[plan.parent], stage[plan.parent]
+    survivors = staged_parent.where(F.col(natural).isNotNull())
 
     def small(df: DataFrame, name: str) -> DataFrame:
         return materialize(df, f"{work_dir}/{name}") if work_dir else df
 
-    live_parent, staged_parent = prod[plan.parent], stage[plan.parent]
-    moved = small(changed_keys(live_parent, staged_parent, natural, key), "moved")
-    survivors = staged_parent.where(F.col(natural).isNotNull())
-    dropped = small(staged_parent.where(F.col(natural).isNull()).select(key), "unnamed")
-
-    def of_survivors(df: DataFrame, column: str) -> DataFrame:
-        # Staged rows of parents that will not survive; nearly always an empty table.
-        return df.join(dropped.select(F.col(key).alias(column)), column, "left_anti").select(df.columns)
-
-    def not_moved(df: DataFrame, column: str) -> DataFrame:
-        return df.join(moved.select(F.col(key).alias(column)), column, "left_anti").select(df.columns)
-
-    out_of_scope = None
-    if scope is not None:
-        live = not_moved(live_parent.where(~F.coalesce(scope, F.lit(False))), key)
-        out_of_scope = live.join(staged_parent.select(key), key, "left_anti").select(live_parent.columns)
-
-    def with_out_of_scope(result: DataFrame, live: DataFrame, column: str) -> DataFrame:
-        if out_of_scope is None:
-            return result
-        rows = live.join(out_of_scope.select(F.col(key).alias(column)), column, "left_semi")
-        return result.unionByName(rows.select(result.columns))
-
-    result: dict[str, DataFrame] = {}
-    for name, dimension_key in plan.dimensions.items():
-        if name in prod and name in stage:
-            result[name] = upsert(prod[name], stage[name], [dimension_key])
-
-    kept = [c for c in plan.kept_on_update if c in staged_parent.columns]
-    parents = keep_old_values(
-        survivors,
-        not_moved(live_parent.select(key, *kept), key),
-        [key],
-        kept,
-        f"{work_dir}/kept_values" if work_dir else None,
-    )
-    if out_of_scope is not None:
-        parents = parents.unionByName(out_of_scope.select(parents.columns))
-    result[plan.parent] = parents
-
-    for name in plan.attachments:
-        if name in prod and name in stage:
-            staged = of_survivors(stage[name], key)
+    def work(name: str) -> str | None:
+        return f"{work_dir}/{name}" if work_dir else None
+
+    def without(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+        return df.join(keys.select(F.col(key).alias(column)), column, "left_anti").select(df.columns)
+
+    # The written key sets are small independent jobs; a few threads keep the cluster busy.
+    with ThreadPoolExecutor(4) as pool:
+        key_sets = pool.map(
+            small,
+            (
+                changed_keys(live_parent, staged_parent, natural, key),
+                # Staged parents that will not survive; nearly always none.
+                staged_parent.where(F.col(natural).isNull()).select(key),
+            ),
+            ("moved", "unnamed"),
+        )
+        moved, unnamed = key_sets
+
+        out_of_scope = None
+        if scope is not None:
+            live = without(live_parent.where(~F.coalesce(scope, F.lit(False))), moved, key)
+            out_of_scope = without(live, staged_parent, key)
+
+        def with_out_of_scope(result: DataFrame, live: DataFrame, column: str) -> DataFrame:
+            if out_of_scope is None:
+                return result
+            rows = live.join(out_of_scope.select(F.col(key).alias(column)), column, "left_semi")
+            return result.unionByName(rows.select(result.columns))
+
+        def merge_parent(name: str) -> DataFrame:
+            kept = [c for c in plan.kept_on_update if c in staged_parent.columns]
+            old = without(live_parent.select(key, *kept), moved, key)
+            merged = keep_old_values(survivors, old, [key], kept, work("kept_values"))
+            return merged if out_of_scope is None else merged.unionByName(out_of_scope.select(merged.columns))
+
+        def merge_attachment(name: str) -> DataFrame:
+            staged = without(stage[name], unnamed, key)
             # Parents without a staged row keep the live one. Few, so the live table is filtered.
-            bare = survivors.select(key).join(stage[name].select(key), key, "left_anti")
-            bare = small(not_moved(bare, key), f"without_{name}")
+            bare = without(survivors.select(key), stage[name], key)
+            bare = small(without(bare, moved, key), f"without_{name}")
             old = prod[name].join(bare, key, "left_semi").select(staged.columns)
-            result[name] = with_out_of_scope(staged.unionByName(old), prod[name], key)
+            return with_out_of_scope(staged.unionByName(old), prod[name], key)
 
-    for name, columns in plan.children.items():
-        if name in prod and name in stage:
-            staged = of_survivors(stage[name], columns[0])
+        def merge_children(name: str) -> DataFrame:
+            columns = plan.children[name]
+            staged = without(stage[name], unnamed, columns[0])
             payload = [] if refresh_payload else [c for c in staged.columns if c not in columns]
-            merged = keep_old_values(
-                staged,
-                not_moved(prod[name], columns[0]) if payload else prod[name],
-                columns,
-                payload,
-                f"{work_dir}/kept_{name}" if work_dir else None,
-            )
-            result[name] = with_out_of_scope(merged, prod[name], columns[0])
-    return result
+            old = without(prod[name], moved, columns[0]) if payload else prod[name]
+            merged = keep_old_values(staged, old, columns, payload, work(f"kept_{name}"))
+            return with_out_of_scope(merged, prod[name], columns[0])
+
+        def merge_dimension(name: str) -> DataFrame:
+            return upsert(prod[name], stage[name], [plan.dimensions[name]])
+
+        merges = {plan.parent: merge_parent}
+        merges.update(dict.fromkeys(plan.dimensions, merge_dimension))
+        merges.update(dict.fromkeys(plan.attachments, merge_attachment))
+        merges.update(dict.fromkeys(plan.children, merge_children))
+        names = [n for n in merges if n in prod and n in stage]
+        return dict(zip(names, pool.map(lambda n: merges[n](n), names)))

@@ -141,14 +141,17 @@ def parse_entry(
     # The parse is the output of a one-element explode, not a projected column: a filter on it (the
     # shredders', or one of the caller) then stays above it instead of being pushed down as a copy
     # that parses every entry once more.
-    parsed = F.explode(F.array(F.from_xml(raw, schema, options)))
+    several = F.coalesce(F.col("starts") > 1, F.lit(False)) if "starts" in entries.columns else F.lit(False)
+    text = raw
+    if not permissive and "starts" in entries.columns:
+        text = F.when(several, F.raise_error(F.lit("MALFORMED: several entries in one")).cast("string")).otherwise(raw)
+    parsed = F.explode(F.array(F.from_xml(text, schema, options)))
     df = entries.select(*entries.columns, parsed.alias("e"))
     e = F.col("e")
     out: dict[str, Column] = {c: F.col(c) for c in carried}
     if "tail" in entries.columns:
         out["tail"] = F.col("tail")
     if permissive:
-        several = F.coalesce(F.col("starts") > 1, F.lit(False)) if "starts" in entries.columns else F.lit(False)
         out["malformed"] = raw.isNotNull() & (e["_corrupt_record"].isNotNull() | several)
     accession = empty_to_null(first_of(e["accession"]))
     out["primary_accession"] = accession

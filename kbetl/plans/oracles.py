@@ -185,6 +185,9 @@ ORACLES: dict[str, str] = {
     "json_tree_validity": f"select primary_accession, cast(0 as integer) as n_invalid from ({_ENTRY_NAMES}) n",
     "malformed_entries": """
       select doc_id, contains(text, '&') or contains(text, '<') as malformed from documents""",
+    "incomplete_documents": """
+      select 'documents' as dataset, cast(doc_id as varchar) as file, cast(0 as bigint) as closed_tails
+      from documents where lang = 'de'""",
     "duplicate_keys": """
       select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by 1, 2 having count(*) > 1""",
     "null_keys": _RELEASE + "select acc, uid from sp where acc is null or uid is null",
@@ -307,6 +310,10 @@ ORACLES: dict[str, str] = {
         _GENES,
         _GO,
     ),
+    "load_release_metadata": """
+      select '2025_01' as version, date '2025-09-01' as release_date,
+             cast((select count(*) from part) as integer) as swissprot_entry_count,
+             cast((select count(*) from documents) as integer) as trembl_entry_count""",
     "load_delta_proteins": """
       select 'P' || p_partkey as primary_accession, 'ID_' || p_partkey as entry_name,
              case when p_type = 'PROMO' then null when p_size <= 40 then p_name else p_name || ' v2' end as protein_name,

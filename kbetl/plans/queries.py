@@ -180,6 +180,18 @@ def malformed_entries(spark: SparkSession, sf: str) -> DataFrame:
     return p.select(F.col("ord").alias("doc_id"), "malformed")
 
 
+@query
+def incomplete_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text as a document of one entry; those in German end in the middle of the root's close tag."""
+    end = F.when(F.col("lang") == "de", "\n</kb").otherwise("\n</kb>\n")
+    parts = read_table(spark, sf, "documents").select(
+        F.lit("documents").alias("dataset"),
+        F.col("doc_id").cast("string").alias("file"),
+        F.explode(F.array(F.lit(None).cast("string"), end)).alias("tail"),
+    )
+    return scan.incomplete_documents(parts)
+
+
 @query
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     return quality.duplicate_keys(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -643,6 +655,19 @@ def load_full_counts(spark: SparkSession, sf: str) -> DataFrame:
     return compare.table_counts(snapshots.open_snapshot(spark, root))
 
 
+@query
+def load_release_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """The metadata row after a load, declaring the row counts of the tables."""
+    root = scratch_dir(spark, "root")
+    info = _info("2025_01", 1) | {
+        "swissprot_entry_count": read_table(spark, sf, "part").count(),
+        "trembl_entry_count": read_table(spark, sf, "documents").count(),
+    }
+    run_load(spark, documents_on_disk(spark, sf), root, info)
+    metadata = snapshots.open_snapshot(spark, root)[snapshots.METADATA]
+    return metadata.drop("load_timestamp")
+
+
 def _release_on_disk(spark: SparkSession, part: DataFrame) -> dict[str, str]:
     path = scratch_dir(spark, "release")
     write_documents(part_entries(part), path, 5_000)

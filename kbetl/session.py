@@ -18,6 +18,8 @@ RECOMMENDED_CONF = {
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Recording the call site of every column expression costs more than building the expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
