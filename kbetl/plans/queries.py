@@ -12,10 +12,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.columns import valid_json
+from ..functions import BLOBS, valid_json
 from ..operators import compare, delta, lookup, quality, shred as sh
 from ..operators.dedup import duplicates_removed, keep_first
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from ..sources import entries as scan, release_files, snapshots, tsv
 from ..sources.star_entries import (
     as_fragments,
@@ -538,7 +538,11 @@ def reconcile_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tables(spark: SparkSession, sf: str, *names: str) -> list[DataFrame]:
-    return [sh.SHREDDERS[n](parsed(spark, sf, n, profile="standard")) for n in names]
+    """Tables of one written parse. The lookups here do not read JSON, so no blob is made."""
+    wide = parsed(spark, sf, *names, profile="standard").drop(*BLOBS)
+    staged = materialize(wide, scratch_dir(spark, "parsed"))
+    staged = staged.withColumns({b: F.lit(None).cast("string") for b in BLOBS})
+    return [sh.SHREDDERS[n](staged) for n in names]
 
 
 def _id_and_name(proteins: DataFrame) -> DataFrame:
@@ -624,7 +628,7 @@ def tsv_roundtrip_customer(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def tsv_roundtrip_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts with line breaks, quotes and tabs."""
-    docs = read_table(spark, sf, "documents").select(
+    docs = spread_table(spark, sf, "documents", "doc_id").select(
         "doc_id", F.concat(F.lit(' "'), F.col("text"), F.lit('"\t\n')).alias("text"), "lang"
     )
     path = scratch_dir(spark, "tsv")
