@@ -60,7 +60,7 @@ def _windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All 4-grams of the texts in a row, where each text's grams start and end."""
     joined = "".join(texts)
     units = np.frombuffer(joined.encode("utf-16-le", "surrogatepass"), np.uint16)
-    if len(units) != len(joined) or (joined and max(joined) > "\uffff"):
+    if len(units) != len(joined):
         texts = [_one_unit(t) for t in texts]
         units = np.frombuffer("".join(texts).encode("utf-16-le", "surrogatepass"), np.uint16)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
