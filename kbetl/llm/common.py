@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +39,23 @@ def crc32_bucket(doc_id: Column, buckets: int) -> Column:
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def keep_rows(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, key: Callable[[Column], Column]) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose id and ``key`` of the text are in ``chosen``.
+
+    ``chosen`` has the columns ``doc_id, text_key, copies``; where ``copies`` rows share id and text, one stays.
+    """
+    names = docs.columns
+    ids, texts = f"_{names.index(id_col)}", f"_{names.index(text_col)}"
+    chosen = written(chosen.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "copies"), "chosen")
+    plain = docs.toDF(*(f"_{i}" for i in range(len(names)))).withColumn("_own", key(F.coalesce(texts, F.lit(""))))
+
+    def those(part: DataFrame) -> DataFrame:
+        return plain.join(part, (F.col("_own") == F.col("_key")) & F.col(ids).eqNullSafe(F.col("_id")), "left_semi")
+
+    kept = those(chosen.where("copies = 1"))
+    repeated = chosen.where("copies > 1")
+    if repeated.limit(1).count():
+        kept = kept.unionByName(those(repeated).dropDuplicates([ids, "_own"]))
+    return kept.drop("_own").toDF(*names)

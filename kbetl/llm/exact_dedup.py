@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, table, written
+from .common import keep_rows, pick, table, written
 from .quotient_filter import CountingQuotientFilter
 
 FINGERPRINTS_PER_SHARD = 1 << 20
@@ -101,26 +101,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Of repeated rows (same id and text) one stays, whatever their other columns hold.
     """
-    names = docs.columns
     decided = exact_dedup(docs, id_col, text_col)
-    stay = written(
-        decided.groupBy("doc_id", "text_sha256")
-        .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies"))
-        .where("kept")
-        .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "copies"),
-        "dedup-kept",
-    )
-    plain = docs.toDF(*(f"_{i}" for i in range(len(names))))
-    plain = plain.withColumn("_text_sha", F.sha2(F.coalesce(f"_{names.index(text_col)}", F.lit("")), 256))
-    key = F.col(f"_{names.index(id_col)}")
-
-    def those(chosen: DataFrame) -> DataFrame:
-        return plain.join(chosen, (F.col("_text_sha") == F.col("_sha")) & key.eqNullSafe(F.col("_id")), "left_semi")
-
-    kept = those(stay.where("copies = 1"))
-    if stay.where("copies > 1").limit(1).count():
-        kept = kept.unionByName(those(stay.where("copies > 1")).dropDuplicates([f"_{names.index(id_col)}", "_text_sha"]))
-    return kept.drop("_text_sha").toDF(*names)
+    each = decided.groupBy("doc_id", F.col("text_sha256").alias("text_key")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies"))
+    return keep_rows(docs, each.where("kept"), id_col, text_col, lambda text: F.sha2(text, 256))
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

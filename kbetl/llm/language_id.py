@@ -325,7 +325,7 @@ def identify(
     alpha: float = ALPHA,
     margin: float = MARGIN,
 ) -> DataFrame:
-    """One row per document: ``doc_id, lang_pred, score, cross_entropy, units, rejected, learned``.
+    """One row per document: ``doc_id, lang_pred, score, cross_entropy, units, rejected, learned, text_key``.
 
     ``learn`` is a condition on ``doc_id``: only texts and labels of rows where it holds are learned from.
 
@@ -338,9 +338,10 @@ def identify(
     models = fit_models(rows.where(learn), max_grams)
     langs = sorted(models)
     shared = docs.sparkSession.sparkContext.broadcast([models[x] for x in langs])
-    marked = rows.select("doc_id", "text", "lang", F.coalesce(learn, F.lit(False)).alias("learned"))
+    key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+    marked = rows.select("doc_id", "text", "lang", F.coalesce(learn, F.lit(False)).alias("learned"), key)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, lang_pred string, score double, cross_entropy double, units long, lang string, learned boolean"
+    schema = f"doc_id {kind}, lang_pred string, score double, cross_entropy double, units long, lang string, learned boolean, text_key long"
     scored = written(marked.mapInArrow(_predict(langs, shared), schema), "lang-scores")
     shared.unpersist()
     limits = thresholds(scored.where("learned and lang = lang_pred"), alpha)
@@ -350,9 +351,26 @@ def identify(
         rows_of = F.create_map(*(x for k, v in sorted(limits.items()) for x in (F.lit(k), F.array(*map(F.lit, v)))))
         limit = F.element_at(F.try_element_at(rows_of, F.col("lang_pred")), level + 1)
         too_far = F.coalesce(F.col("cross_entropy") > limit + margin, F.lit(False))
-    return scored.select(
-        "doc_id", "lang_pred", "score", "cross_entropy", "units", ((F.col("lang_pred") == UNKNOWN) | too_far).alias("rejected"), "learned"
-    )
+    rejected = ((F.col("lang_pred") == UNKNOWN) | too_far).alias("rejected")
+    return scored.select("doc_id", "lang_pred", "score", "cross_entropy", "units", rejected, "learned", "text_key")
+
+
+def keep_identified(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` without the rejected ones; a null language becomes the one found. All columns stay.
+
+    Repeated rows share their fate. Only rejected rows, and rows without a language, are joined.
+    """
+    found = written(identify(docs, learn, id_col, text_col, lang_col), "lang-found")
+    names = docs.columns
+    plain = docs.toDF(*(f"_{i}" for i in range(len(names))))
+    ids, texts, lang = (f"_{names.index(c)}" for c in (id_col, text_col, lang_col))
+    plain = plain.withColumn("_own", F.xxhash64(F.coalesce(texts, F.lit(""))))
+    result = found.groupBy("doc_id", "text_key").agg(F.first("lang_pred").alias("_found"), F.first("rejected").alias("rejected"))
+    same = (F.col("_own") == F.col("text_key")) & F.col(ids).eqNullSafe(F.col("doc_id"))
+    named = plain.where(F.col(lang).isNotNull()).join(result.where("rejected"), same, "left_anti").drop("_own")
+    open_ = plain.where(F.col(lang).isNull()).join(result.where("not rejected"), same)
+    own = [F.col(f"_{i}") if f"_{i}" != lang else F.col("_found").alias(lang) for i in range(len(names))]
+    return named.unionByName(open_.select(*own)).toDF(*names)
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:

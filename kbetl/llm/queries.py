@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language_id import op2_language_id
+from .packing import op8_packing
 from .simhash import op5_simhash
 from .surrogates import op9_surrogates
 
@@ -15,6 +16,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_packing": op8_packing,
     "op9_surrogates": op9_surrogates,
 }
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, table, written
+from .common import keep_rows, pick, table, written
 from .components import component_roots
 
 SHINGLE_WORDS = 4
@@ -65,16 +65,17 @@ def simhash(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` of each row of ``doc_id, text``; a null text has no words."""
+    """``doc_id, text_key, fp`` of each row of ``doc_id, text``; a null text has no words."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             values = [simhash(t.as_py() or b"", shingle_words) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(values, pa.int64())], ["doc_id", "text_key", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(hashed, f"doc_id {kind}, fp long")
+    key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+    return docs.select("doc_id", "text", key).mapInArrow(hashed, f"doc_id {kind}, text_key long, fp long")
 
 
 def _blocks(n: int, distance: int) -> tuple[int, int]:
@@ -206,6 +207,21 @@ def near_links(distinct: DataFrame, distance: int = MAX_DISTANCE, large: int = L
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_places(refs, distance), "a long, b long")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, distance: int) -> DataFrame:
+    """``doc_id, text_key, fp, root, component_id`` of each row; ``root`` is the least fingerprint of the group."""
+    if shingle_words < 1:
+        raise ValueError("shingle_words must be positive")
+    rows = written(fingerprints(pick(docs, doc_id=id_col, text=text_col), shingle_words), "simhash")
+    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
+    roots = written(component_roots(near_links(distinct.select("fp"), distance)), "simhash-roots")
+    linked = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
+    of_root = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("size"))
+    named = linked.join(of_root.where("size > 1"), "root").select(F.col("fp").alias("named"), "root", "component_id")
+    joined = rows.join(named, rows.fp == named.named, "left")
+    component = F.when(F.col("named").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return joined.select("doc_id", "text_key", "fp", F.coalesce("root", "fp").alias("root"), component.alias("component_id"))
+
+
 def simhash_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -223,20 +239,26 @@ def simhash_groups(
     * Repeated rows and ties give the same values; each row is returned. Null ids are never a component's
       id unless all its ids are null. An empty table gives no rows. Further columns are ignored.
     """
-    if shingle_words < 1:
-        raise ValueError("shingle_words must be positive")
-    rows = written(fingerprints(pick(docs, doc_id=id_col, text=text_col), shingle_words), "simhash")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
-    roots = written(component_roots(near_links(distinct.select("fp"), distance)), "simhash-roots")
-    linked = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
-    of_root = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("size"))
-    named = linked.join(of_root.where("size > 1"), "root").select(F.col("fp").alias("named"), "component_id", F.lit(True).alias("grouped"))
-    joined = rows.join(named, rows.fp == named.named, "left")
-    return joined.select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    rows = _grouped(docs, id_col, text_col, shingle_words, distance)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_of_near(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    distance: int = MAX_DISTANCE,
+) -> DataFrame:
+    """One document of each group, the one with the smallest id, with all its columns.
+
+    Among different texts with that id the one with the smallest hash stays, among repeated rows any one.
+    """
+    rows = written(_grouped(docs, id_col, text_col, shingle_words, distance), "simhash-groups")
+    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    each = first.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
+    least = each.groupBy("root").agg(F.min("text_key").alias("text_key"))
+    return keep_rows(docs, each.join(least, ["root", "text_key"]), id_col, text_col, F.xxhash64)
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
