@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language_id import op2_language_id
 from .packing import op8_packing
+from .quality_rules import op3_quality_rules
 from .simhash import op5_simhash
 from .surrogates import op9_surrogates
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op3_quality_rules": op3_quality_rules,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_packing": op8_packing,
