@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_format import OP4_SQL, op4_chat_format
 from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language_id import op2_language_id
 from .packing import op8_packing
@@ -16,6 +17,7 @@ from .surrogates import op9_surrogates
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
+    "op4_chat_format": op4_chat_format,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_packing": op8_packing,
@@ -23,5 +25,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_chat_format": OP4_SQL,
     "op6_exact_dedup": OP6_SQL,
 }
