@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_bpe import op10_byte_bpe
 from .chat_format import OP4_SQL, op4_chat_format
 from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language_id import op2_language_id
@@ -22,6 +23,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op8_packing": op8_packing,
     "op9_surrogates": op9_surrogates,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
