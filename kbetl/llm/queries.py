@@ -14,6 +14,7 @@ from .packing import op8_packing
 from .quality_rules import op3_quality_rules
 from .simhash import op5_simhash
 from .surrogates import op9_surrogates
+from .warc import OP7_SQL, op7_warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
@@ -21,6 +22,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_format": op4_chat_format,
     "op5_simhash": op5_simhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_surrogates": op9_surrogates,
     "op10_byte_bpe": op10_byte_bpe,
@@ -29,4 +31,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_chat_format": OP4_SQL,
     "op6_exact_dedup": OP6_SQL,
+    "op7_warc": OP7_SQL,
 }
