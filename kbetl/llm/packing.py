@@ -12,8 +12,11 @@
 
 from __future__ import annotations
 
+import json
+import struct
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,62 +27,136 @@ from .common import pick, table, written
 
 MAX_TOKENS = 2048
 END_ID = 0
-CACHED_WORDS = 400_000
-SLICE_BYTES = 1 << 20
+CACHED_WORDS = 700_000  # in each of two generations
+SLICE_BYTES = 1 << 21
 _FIT_PASSES = 6
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
+def _byte_letters() -> dict[str, int]:
+    """The byte each character of a byte-level vocabulary stands for: printable ones themselves, others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+class _PlainWords:
+    """Merges of a tokenizer file for words of letters only, many at a time.
+
+    The file's tokens that end a word become byte strings with a zero byte at their end, and the order of its
+    merges their ranks; a call then encodes words joined by zero bytes.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path) as f:
+            model = json.load(f)["model"]
+        end, letters = model["end_of_word_suffix"], _byte_letters()
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        alone = [c for c in letters if c in model["vocab"]]
+        tokens = [*alone, *(c + end for c in alone), *merged]
+        plain = [t.removesuffix(end) for t in tokens]
+        raw = [bytes(map(letters.__getitem__, p)) + b"\0" * (p != t) for p, t in zip(plain, tokens, strict=True)]
+        # The zero byte is no letter: alone it only marks ends, so it and what it forms by itself come last.
+        ranks: dict[bytes, int] = {}
+        kept = []
+        for r, t in zip(raw, tokens, strict=True):
+            if r not in ranks and r not in (b"\0", b"\0\0"):
+                ranks[r] = len(ranks)
+                kept.append(t)
+        ranks[b"\0"] = len(ranks)
+        self.ids = np.array([model["vocab"][t] for t in kept] + [-1], np.int64)
+        self.ends = np.array([t.endswith(end) for t in kept] + [False])
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, words: list[str]) -> list[bytes]:
+        ranks = np.array(self.encoding.encode_ordinary("".join([w + "\0" for w in words])), np.int64)
+        data = self.ids[ranks].astype("<u4").tobytes()
+        stops = [0, *((np.flatnonzero(self.ends[ranks]) + 1) * 4).tolist()]
+        return [data[a:b] for a, b in zip(stops, stops[1:], strict=False)]
+
+
 class WordTokenizer:
     """Ids of a tokenizer whose tokens never cross white space, remembered by word.
 
-    ASCII capitals are lowered first, as the tokenizer does; not in texts that may hold a special token.
+    ASCII capitals are lowered first, as the tokenizer does; not in texts that may hold a special token. Words of
+    letters are encoded together by the tokenizer's merges, all others by the tokenizer itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = _PlainWords(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known.clear()
-        new = list(words)
-        # Full stops and commas at the end are tokens of their own after a letter.
-        stems = [w.rstrip(b".,") for w in new]
-        apart = [s.decode().lower().isalpha() for s in stems]
-        parts = {s if a else w for w, s, a in zip(new, stems, apart, strict=True)}
-        parts |= {w[len(s) :] for w, s, a in zip(new, stems, apart, strict=True) if a and len(s) < len(w)}
-        wanted = [p for p in parts if p not in self.known]
-        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in wanted], add_special_tokens=False)
-        self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(wanted, encoded, strict=True))
-        for w, s, a in zip(new, stems, apart, strict=True):
-            if a and len(s) < len(w):
-                self.known[w] = self.known[s] + self.known[w[len(s) :]]
+        """Makes unknown ``words`` known: from the generation before, or else encoded."""
+        ends: list[tuple[bytes, bytes]] = []
+        letters: dict[bytes, str] = {}
+        others: set[bytes] = set()
+        for w in words:
+            if w in self.older:
+                self.known[w] = self.older[w]
+                continue
+            # Full stops and commas at the end are tokens of their own after a letter.
+            stem = w.rstrip(b".,")
+            low = stem.decode().lower()
+            if low.isalpha() and "\u03c2" not in low and unicodedata.is_normalized("NFC", low):
+                letters[stem] = low
+                if len(stem) < len(w):
+                    ends.append((w, stem))
+                    others.add(w[len(stem) :])
+            else:
+                others.add(w)
+        others = {w for w in others if w not in self.known}
+        if letters:
+            self.known.update(zip(letters, self.plain(list(letters.values())), strict=True))
+        if others:
+            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
+            self.known.update((w, struct.pack(f"<{len(ids)}I", *ids)) for w, ids in zip(others, (e.ids for e in encoded), strict=True))
+        for w, stem in ends:
+            self.known[w] = self.known[stem] + self.known[w[len(stem) :]]
+
+    def encode_all(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """The ids of each text as little-endian 32-bit integers; words are looked up for many texts at once."""
+        open_: list[bytes] = []  # finished parts of a text longer than a slice
+        group: list[tuple[list[bytes], bool]] = []  # words, and whether they end their text
+        size = 0
+
+        def settle() -> Iterator[bytes]:
+            if len(self.known) > CACHED_WORDS:
+                self.known, self.older = {}, self.known
+            self._learn(set().union(*(words for words, _ in group)).difference(self.known))
+            get = self.known.__getitem__
+            for words, ends in group:
+                open_.append(b"".join(map(get, words)))
+                if ends:
+                    yield open_[0] if len(open_) == 1 else b"".join(open_)
+                    open_.clear()
+            group.clear()
+
+        for text in texts:
+            if b"<|" not in text:
+                text = text.lower()
+            at = 0
+            while at < len(text) or not at:
+                end = min(len(text), at + SLICE_BYTES)
+                while end < len(text) and text[end] not in b" \t\n\r\x0b\x0c":
+                    end += 1
+                group.append((text[at:end].split(), end == len(text)))
+                size += end - at
+                at = max(end, 1)
+                if size >= SLICE_BYTES:
+                    yield from settle()
+                    size = 0
+        yield from settle()
 
     def encode(self, text: bytes) -> bytes:
-        """The ids of a text as little-endian 32-bit integers."""
-        out, at = [], 0
-        if b"<|" not in text:
-            text = text.lower()
-        while at < len(text):
-            end = min(len(text), at + SLICE_BYTES)
-            while end < len(text) and text[end] not in b" \t\n\r\x0b\x0c":
-                end += 1
-            words = text[at:end].split()
-            at = end
-            try:
-                out.append(b"".join(map(self.known.get, words)))
-            except TypeError:  # a word isn't known yet
-                known = self.known
-                missing = {w for w in words if w not in known}
-                if len(missing) + len(known) > CACHED_WORDS:
-                    missing = set(words)
-                self._learn(missing)
-                out.append(b"".join(map(self.known.get, words)))
-        return b"".join(out)
+        return next(self.encode_all([text]))
 
 
 def _tokenizer(path: str) -> WordTokenizer:
@@ -98,12 +175,13 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOK
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"] + ["ids"] * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(tokenizer_path).encode
+        encode_all = _tokenizer(tokenizer_path).encode_all
         seen = [0] * (max_tokens + 1)
         for batch in batches:
             source, piece, start, length, crc, nth, ids = [], [], [], [], [], [], []
-            for row, text in enumerate(batch.column(1).cast(pa.binary())):
-                data = encode(text.as_py() or b"") + end
+            texts = (t.as_py() or b"" for t in batch.column(1).cast(pa.binary()))
+            for row, tokens in enumerate(encode_all(texts)):
+                data = tokens + end
                 for k, at in enumerate(range(0, len(data), 4 * max_tokens)):
                     part = data[at : at + 4 * max_tokens]
                     n = len(part) // 4
