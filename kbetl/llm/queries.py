@@ -10,6 +10,7 @@ from .byte_bpe import op10_byte_bpe
 from .chat_format import OP4_SQL, op4_chat_format
 from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .language_id import op2_language_id
+from .lm_scoring import op1_lm_scores
 from .packing import op8_packing
 from .quality_rules import op3_quality_rules
 from .simhash import op5_simhash
@@ -17,6 +18,7 @@ from .surrogates import op9_surrogates
 from .warc import OP7_SQL, op7_warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_chat_format": op4_chat_format,
