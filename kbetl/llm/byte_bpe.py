@@ -29,7 +29,7 @@ from .common import pick, table, written
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
 TAIL_CHARS = 4  # a match this close to the end of a chunk might have gone on
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 BATCH_BYTES = 1 << 23
 
 _codecs: dict[tuple[str, str], ByteBpe] = {}
@@ -94,20 +94,21 @@ def _in_batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*waiting, strict=True), schema, strict=True)], schema=schema)
 
 
-def _encode_rows(rows: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """The ids of the last column, ``text``, in its place."""
+def _encode_rows(rows: DataFrame, ranks_path: str, pattern: str, decode: bool = False) -> DataFrame:
+    """The ids of the last column, ``text``, in its place, and if asked for the bytes they decode to."""
     names = rows.columns[:-1]
     kinds = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks_path, pattern)
         for batch in batches:
-            schema = pa.schema([*(batch.schema.field(i) for i in range(len(names))), pa.field("ids", pa.binary())])
+            values = [pa.field(n, pa.binary()) for n in ("ids", "decoded")[: 1 + decode]]
+            schema = pa.schema([*(batch.schema.field(i) for i in range(len(names))), *values])
             keys = [c.to_pylist() for c in batch.columns[:-1]]
             made = ((*k, codec.encode(t.as_py() or "")) for *k, t in zip(*keys, batch.columns[-1], strict=True))
-            yield from _in_batches(made, schema)
+            yield from _in_batches(((*row, codec.decode(row[-1])) for row in made) if decode else made, schema)
 
-    return rows.mapInArrow(run, f"{kinds}, ids binary")
+    return rows.mapInArrow(run, f"{kinds}, ids binary" + ", decoded binary" * decode)
 
 
 def _stitched(long: DataFrame, ranks_path: str, pattern: str, chunk: int, overlap: int) -> DataFrame:
@@ -156,43 +157,47 @@ def encode_documents(
     text_col: str = "text",
     chunk_chars: int = CHUNK_CHARS,
     overlap_chars: int = OVERLAP_CHARS,
+    decode: bool = False,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, ids`` (little-endian 32-bit integers in one binary value).
 
+    With ``decode`` the bytes that the ids decode to follow as ``decoded``, made in the same pass.
+
     * A null text is the empty one and has no ids. Texts of any length are encoded whole.
     * Repeated rows and null ids come back row by row. An empty table gives no rows. Further columns are ignored.
     """
     if not TAIL_CHARS < overlap_chars <= chunk_chars:
         raise ValueError("the overlap must be over 4 characters and no longer than a chunk")
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    short = _encode_rows(rows.where(F.length("text") <= chunk_chars), ranks_path, pattern)
+    short = _encode_rows(rows.where(F.length("text") <= chunk_chars), ranks_path, pattern, decode)
     keyed = rows.where(F.length("text") > chunk_chars).withColumn("key", F.sha2("text", 256))
     distinct = written(keyed.groupBy("key").agg(F.first("text").alias("text")), "long-texts")
     result = short
     if distinct.limit(1).count():
         long = written(_stitched(distinct, ranks_path, pattern, chunk_chars, overlap_chars), "long-ids")
-        result = short.unionByName(keyed.select("doc_id", "key").join(long, "key").select("doc_id", "ids"))
-    return result.select("doc_id", F.expr("length(ids) div 4").alias("n_tokens"), "ids")
+        if decode:
+            long = written(decode_documents(long.withColumnRenamed("key", "doc_id"), ranks_path, pattern), "long-decoded").withColumnRenamed("doc_id", "key")
+        result = short.unionByName(keyed.select("doc_id", "key").join(long, "key").select("doc_id", *long.columns[1:]))
+    return result.select("doc_id", F.expr("length(ids) div 4").alias("n_tokens"), *result.columns[1:])
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``encoded`` (with ``doc_id, n_tokens, ids``) and ``decoded``: the bytes of the ids in a row."""
+    """``encoded`` (with ``doc_id, ids``) and ``decoded``: the bytes of the ids in a row."""
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks_path, pattern)
         for batch in batches:
-            schema = pa.schema([batch.schema.field(0), batch.schema.field(1), batch.schema.field(2), pa.field("decoded", pa.binary())])
-            keys = (batch.column(i).to_pylist() for i in (0, 1))
-            made = ((d, n, x.as_py(), codec.decode(x.as_py())) for d, n, x in zip(*keys, batch.column(2), strict=True))
+            schema = pa.schema([batch.schema.field(0), batch.schema.field(1), pa.field("decoded", pa.binary())])
+            made = ((d, x.as_py(), codec.decode(x.as_py())) for d, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
             yield from _in_batches(made, schema)
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
 
 
 def op10_byte_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     own = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    back = decode_documents(encode_documents(table(spark, sf_dir, "documents"), *own), *own)
+    back = encode_documents(table(spark, sf_dir, "documents"), *own, decode=True)
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
