@@ -58,28 +58,41 @@ def _to_json(elements: list[ET.Element]) -> str | None:
     return _encode([tree(el) for el in elements]) if elements else None
 
 
-def entry_blobs(raw: Column, profile: str, blobs: tuple[str, ...] = BLOBS) -> Column:
-    """Struct of JSON text, one field per name in ``blobs``, from one parse of ``raw``.
+def _parsed(text: bytes, namespaces: str | None) -> ET.Element:
+    """The entry; where a prefix isn't bound in it, inside an element with the root's declarations."""
+    try:
+        return ET.fromstring(text)
+    except ET.ParseError:
+        if not namespaces:
+            raise
+        return ET.fromstring(b"<_ " + namespaces.encode() + b">" + text + b"</_>")[0]
 
-    A NULL input gives NULL fields without a parse; malformed text gives NULL fields too, the
-    relational parse reports it.
+
+def entry_blobs(raw: Column, profile: str, blobs: tuple[str, ...] = BLOBS, namespaces: Column | None = None, strict: bool = True) -> Column:
+    """Struct of JSON text, one field per name in ``blobs``, from one parse of ``raw``, and ``broken``.
+
+    A NULL input gives NULL fields without a parse. ``namespaces`` holds the prefix declarations of the document's
+    root. An entry that can't be parsed fails the job, or with ``strict=False`` is marked by ``broken``.
     """
     standard = profile == "standard"
 
-    @F.arrow_udf(", ".join(f"{b} string" for b in blobs))
-    def parse(batch: pa.Array) -> pa.Array:
+    @F.arrow_udf(", ".join(f"{b} string" for b in blobs) + ", broken boolean")
+    def parse(batch: pa.Array, declared: pa.Array) -> pa.Array:
         out: dict[str, list] = {b: [] for b in blobs}
-        for text in batch:
+        broken = []
+        for text, prefixes in zip(batch, declared):
             entry = None
             if text.is_valid:
                 try:
-                    entry = ET.fromstring(text.as_buffer().to_pybytes())
+                    entry = _parsed(text.as_buffer().to_pybytes(), prefixes.as_py())
                 except ET.ParseError:
-                    pass
+                    if strict:
+                        raise
+            broken.append(text.is_valid and entry is None)
             for b in blobs:
                 out[b].append(None if entry is None else _to_json(_members(entry, b, standard)))
         return pa.StructArray.from_arrays(
-            [pa.array(out[b], pa.string()) for b in blobs], names=list(blobs)
+            [*(pa.array(out[b], pa.string()) for b in blobs), pa.array(broken, pa.bool_())], names=[*blobs, "broken"]
         )
 
-    return parse(raw)
+    return parse(raw, F.lit(None).cast("string") if namespaces is None else namespaces)

@@ -11,12 +11,15 @@ from .quality import QualityError
 
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Bag difference both ways: the rows, with ``side`` naming where each is in excess."""
-    right = right.select(left.columns)
-    return (
-        left.exceptAll(right).withColumn("side", F.lit("left"))
-        .unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
-    )
+    """Bag difference both ways: the rows, with ``side`` naming where each is in excess.
+
+    One shuffle of both tables: equal rows are summed with the sign of their side.
+    """
+    both = left.withColumn("_sign", F.lit(1)).unionByName(right.select(left.columns).withColumn("_sign", F.lit(-1)))
+    excess = both.groupBy(*left.columns).agg(F.sum("_sign").alias("_excess")).where("_excess <> 0")
+    side = F.when(F.col("_excess") > 0, "left").otherwise("right").alias("side")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_excess"))).alias("_copy")
+    return excess.select(*left.columns, side, copies).drop("_copy")
 
 
 def assert_same_rows(left: DataFrame, right: DataFrame) -> None:

@@ -78,7 +78,9 @@ def changed_keys(prod: DataFrame, stage: DataFrame, natural_key: str, key: str)
 def removed_keys(prod: DataFrame, stage: DataFrame, natural_key: str, key: str) -> DataFrame:
     """Live keys whose natural key is not staged; a NULL natural key counts as not staged."""
     staged = stage.where(F.col(natural_key).isNotNull()).select(natural_key).distinct()
-    return prod.select(natural_key, key).join(staged, natural_key, "left_anti").select(key)
+    named = prod.where(F.col(natural_key).isNotNull())
+    unnamed = prod.where(F.col(natural_key).isNull()).select(key)
+    return named.select(natural_key, key).join(staged, natural_key, "left_anti").select(key).unionByName(unnamed)
 
 
 def rekey_delete(prod: DataFrame, stage: DataFrame, natural_key: str, key: str) -> DataFrame:
@@ -220,7 +222,7 @@ def apply_delta(
     scope: Column | None = None,
     work_dir: str | None = None,
 ) -> dict[str, DataFrame]:
-    """The tables after the delta; tables missing on either side are left out of the result.
+    """The tables after the delta. Both sides must have the same tables of the plan.
 
     Staged keys must be unique (the load's gates see to that). By default child payloads of keys
     that stay are not refreshed, and live parents that are not in the release are removed
@@ -228,6 +230,9 @@ def apply_delta(
     ``work_dir`` (a shared folder) is where small key sets are written so that Spark knows their
     sizes and does not compute them once per table.
     """
+    planned = {plan.parent, *plan.dimensions, *plan.attachments, *plan.children}
+    if one_sided := sorted(n for n in planned if (n in prod) != (n in stage)):
+        raise ValueError(f"tables on one side of the delta only: {one_sided}")
     key, natural = plan.key, plan.natural_key
     live_parent, staged_parent = prod[plan.parent], stage[plan.parent]
     survivors = staged_parent.where(F.col(natural).isNotNull())
@@ -294,5 +299,5 @@ def apply_delta(
         merges.update(dict.fromkeys(plan.dimensions, merge_dimension))
         merges.update(dict.fromkeys(plan.attachments, merge_attachment))
         merges.update(dict.fromkeys(plan.children, merge_children))
-        names = [n for n in merges if n in prod and n in stage]
+        names = [n for n in merges if n in prod]
         return dict(zip(names, pool.map(lambda n: merges[n](n), names)))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import valid_json
 from ..schemas import TABLES, Table
-from ..sources.entries import incomplete_documents
+from ..sources.entries import incomplete_documents, long_comments
 
 
 class QualityError(ValueError):
@@ -132,12 +132,21 @@ _REPEATED = (
 )
 
 
+ON_DUPLICATE = ("fail", "keep_first")
+
+
+def check_on_duplicate(value: str) -> None:
+    if value not in ON_DUPLICATE:
+        raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}, not {value!r}")
+
+
 def entry_violations(parsed: DataFrame, on_duplicate: str = "fail") -> DataFrame:
     """Everything about one entry that breaks a key or a length: accession, table_name, problem.
 
     Child keys start with the accession, so once accessions are unique a child key can only repeat
     inside one entry. That makes this a row-local filter: no shuffle for the child tables.
     """
+    check_on_duplicate(on_duplicate)
     problems: list[Column] = []
 
     def add(condition: Column, table: str, text: str) -> None:
@@ -182,6 +191,8 @@ def load_violations(parsed: DataFrame, on_duplicate: str = "fail") -> DataFrame:
         "duplicate primary accession": duplicate_keys(entries, ["primary_accession"]),
         "entry breaks a key or length rule": entry_violations(parsed, on_duplicate),
     }
+    if "comment_opens" in parsed.columns:
+        gates["comment over several entries"] = long_comments(parsed)
     return reduce(
         DataFrame.unionByName,
         [df.select(F.lit(gate).alias("problem"), F.to_json(F.struct(*df.columns)).alias("at")) for gate, df in gates.items()],

@@ -126,6 +126,8 @@ def parse_entry(
     """
     if profile not in PROFILES:
         raise ValueError(f"profile must be one of {PROFILES}, not {profile!r}")
+    if mode not in ("FAILFAST", "PERMISSIVE"):
+        raise ValueError(f"mode must be FAILFAST or PERMISSIVE, not {mode!r}")
     tables = tuple(tables)
     parts = {"accession": _PARTS["accession"]}
     for table in tables:
@@ -137,14 +139,16 @@ def parse_entry(
     options = {"mode": mode, "ignoreSurroundingSpaces": "false"}
 
     raw = F.col("raw_xml")
-    carried = [c for c in entries.columns if c not in ("raw_xml", "tail", "starts")]
+    carried = [c for c in entries.columns if c not in ("raw_xml", "tail", "starts", "suspect", "namespaces")]
     # The parse is the output of a one-element explode, not a projected column: a filter on it (the
     # shredders', or one of the caller) then stays above it instead of being pushed down as a copy
     # that parses every entry once more.
     several = F.coalesce(F.col("starts") > 1, F.lit(False)) if "starts" in entries.columns else F.lit(False)
+    if "suspect" in entries.columns:
+        several = several | F.coalesce("suspect", F.lit(False))
     text = raw
-    if not permissive and "starts" in entries.columns:
-        text = F.when(several, F.raise_error(F.lit("MALFORMED: several entries in one")).cast("string")).otherwise(raw)
+    if not permissive and {"starts", "suspect"} & set(entries.columns):
+        text = F.when(several, F.raise_error(F.lit("MALFORMED: not one whole entry")).cast("string")).otherwise(raw)
     parsed = F.explode(F.array(F.from_xml(text, schema, options)))
     df = entries.select(*entries.columns, parsed.alias("e"))
     e = F.col("e")
@@ -152,7 +156,7 @@ def parse_entry(
     if "tail" in entries.columns:
         out["tail"] = F.col("tail")
     if permissive:
-        out["malformed"] = raw.isNotNull() & (e["_corrupt_record"].isNotNull() | several)
+        out["malformed"] = (raw.isNotNull() & e["_corrupt_record"].isNotNull()) | several
     accession = empty_to_null(first_of(e["accession"]))
     out["primary_accession"] = accession
 
@@ -190,13 +194,17 @@ def parse_entry(
     if "protein_to_go" in tables:
         out["go_ids"] = _go_ids(raw, e["dbReference"])
     if "proteins" in tables:
-        out.update(_blob_columns(raw, e["comment"], accession, profile))
+        declared = F.col("namespaces") if "namespaces" in entries.columns else None
+        out.update(_blob_columns(raw, e["comment"], accession, profile, declared, not permissive))
 
     df = df.select(*(c.alias(name) for name, c in out.items()))
     if "proteins" in tables:
         null = F.lit(None).cast("string")
         made = _blobs_of(profile)
-        df = df.withColumns({b: F.col("blobs")[b] if b in made else null for b in BLOBS}).drop("blobs")
+        found = {b: F.col("blobs")[b] if b in made else null for b in BLOBS}
+        if permissive:
+            found["malformed"] = F.col("malformed") | F.coalesce(F.col("blobs")["broken"], F.lit(False))
+        df = df.withColumns(found).drop("blobs")
     return df
 
 
@@ -204,14 +212,16 @@ def _blobs_of(profile: str) -> tuple[str, ...]:
     return BLOBS if profile == "full" else ("comments_data",)
 
 
-def _blob_columns(raw: Column, comment: Column, accession: Column, profile: str) -> dict[str, Column]:
+def _blob_columns(
+    raw: Column, comment: Column, accession: Column, profile: str, namespaces: Column | None, strict: bool
+) -> dict[str, Column]:
     # Entries that cannot yield a blob are not sent to Python.
     wanted = accession.isNotNull()
     if profile == "standard":
         wanted = wanted & F.exists(comment, lambda c: c["_type"].isin(*STANDARD_COMMENT_TYPES))
     else:
         wanted = wanted & raw.rlike("<(comment|feature|dbReference|evidence)")
-    return {"blobs": entry_blobs(F.when(wanted, raw), profile, _blobs_of(profile))}
+    return {"blobs": entry_blobs(F.when(wanted, raw), profile, _blobs_of(profile), namespaces, strict)}
 
 
 def _entries(parsed: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.delta import DeltaPlan, apply_delta
-from ..operators.quality import check_entries
+from ..operators.quality import check_entries, check_on_duplicate
 from ..operators.shred import distinct_in_entry, parse_entry, shred
 from ..session import materialize
 from ..sources import snapshots
@@ -47,6 +47,7 @@ def stage_entries(
     The documents are read and parsed once. The seven tables and all gates then read single
     columns of the result, and a lost executor costs no second parse.
     """
+    check_on_duplicate(on_duplicate)
     fragments = dataset_union(spark, sources)
     parsed = materialize(parse_entry(fragments, profile, mode="PERMISSIVE"), path)
     check_entries(parsed, on_duplicate)
@@ -96,6 +97,8 @@ def run_load(
     try:
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+        check_on_duplicate(on_duplicate)
+        snapshots.check_release(release)
         live = snapshots.current_generation(spark, root)
         if mode == "delta" and not version_gate(
             snapshots.latest_release(spark, root), release.get("version")
@@ -118,12 +121,12 @@ def run_load(
             )
         snapshots.stage_tables(spark, tables, root, generation)
         snapshots.write_release_metadata(spark, root, generation, release)
-        snapshots.publish(spark, root, generation, mode)
+        snapshots.publish(spark, root, generation, mode, live)
     except Exception as error:
         run.update(
             status="FAILED",
             end_time=datetime.now(timezone.utc),
-            error_message=f"{type(error).__name__}: {error}\n{traceback.format_exc()}",
+            error_message="".join(traceback.format_exception(error)),
             generation=live,
         )
         snapshots.append_load_history(spark, root, run)

@@ -15,11 +15,11 @@ _PROTEINS = """
   select 'P' || p_partkey as primary_accession, 'ID_' || p_partkey as entry_name,
          case when p_type <> 'PROMO' then p_name end as protein_name, p_size as ncbi_taxid,
          cast(length(p_name) as integer) as sequence_length, p_size as molecular_weight,
-         date '2000-05-30' as created_date, date '2024-07-17' as modified_date
+         date '1998-02-03' as created_date, date '2021-11-05' as modified_date
   from part
   union all
   select 'D' || doc_id, 'DOC_' || doc_id, null, null, cast(n_chars as integer), null,
-         date '2010-10-12', date '2024-07-18'
+         date '2005-06-07', date '2022-01-09'
   from documents"""
 
 _TAXONOMY = """
@@ -75,8 +75,9 @@ _RELEASE = """
                'new' nm, o_totalprice + 1 v
          from st),
   li as (select l_orderkey, l_linenumber ln, min(l_returnflag) flag from lineitem group by 1, 2),
-  pc as (select l_orderkey acc, ln, flag from li join pp on l_orderkey = pp.acc where flag <> 'N'),
-  sc as (select st.acc, ln, 'Z' flag from li join st on l_orderkey = o_orderkey where flag <> 'R'),
+  pc as (select l_orderkey acc, ln, flag from li join pp on l_orderkey = pp.acc
+         where flag <> 'N' or l_orderkey in (select o_orderkey from orders where o_orderpriority = '5-LOW')),
+  sc as (select st.acc, ln, 'Z' flag from li join st on l_orderkey = o_orderkey where flag <> 'R' or o_orderstatus = 'P'),
   ps as (select o_orderkey acc, o_orderpriority seq from orders where o_orderstatus in ('F', 'O')),
   ss as (select acc, 'next-' || o_orderpriority seq from st where o_orderstatus <> 'F'),
   pt as (select c_custkey taxid, c_name name, c_mktsegment lineage from customer where c_acctbal < 5000),
@@ -186,8 +187,9 @@ ORACLES: dict[str, str] = {
     "malformed_entries": """
       select doc_id, contains(text, '&') or contains(text, '<') as malformed from documents""",
     "incomplete_documents": """
-      select 'documents' as dataset, cast(doc_id as varchar) as file, cast(0 as bigint) as closed_tails
-      from documents where lang = 'de'""",
+      select distinct 'documents' as dataset, cast(doc_id // 50 as bigint) as document, cast(0 as bigint) as closed_tails
+      from documents where doc_id // 50 % 3 = 0""",
+    "json_tree_prefixed": "select 'D' || doc_id as primary_accession, 'text' as kind from documents",
     "duplicate_keys": """
       select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by 1, 2 having count(*) > 1""",
     "null_keys": _RELEASE + "select acc, uid from sp where acc is null or uid is null",
@@ -214,9 +216,9 @@ ORACLES: dict[str, str] = {
       select cast(sum(n) as bigint) as n_rows, count(*) as n_keys, cast(sum(n - 1) as bigint) as n_removed
       from (select count(*) as n from lineitem group by l_orderkey, l_linenumber) t""",
     "verify_checksums": """
-      select 'doc_' || doc_id || '.gz' as filename,
+      select 'lang=' || lang as release, source || '-' || (doc_id // 5000) || '.gz' as filename,
              case when lang = 'de' then 'unlisted' when source = 'src1' then 'mismatch' else 'valid' end as status
-      from documents""",
+      from documents group by lang, source, doc_id // 5000""",
     "delta_changed_keys": _RELEASE + "select acc from moved",
     "delta_removed_keys": _RELEASE
     + "select acc from pp where not exists (select 1 from sp s where s.uid = pp.uid)",
@@ -319,6 +321,20 @@ ORACLES: dict[str, str] = {
              case when p_type = 'PROMO' then null when p_size <= 40 then p_name else p_name || ' v2' end as protein_name,
              cast(length(p_name) + 3 as integer) as sequence_length, p_name || ' v2' || reverse(p_brand) as sequence
       from part where p_size >= 10""",
+    "load_delta_accessions": f"select * from ({_ACCESSIONS} and p_size >= 10) t",
+    "load_delta_genes": """
+      select 'P' || p_partkey as protein_accession, reverse(p_brand) as gene_name, true as is_primary from part where p_size >= 10
+      union all
+      select 'P' || p_partkey, p_type, false from part where p_size >= 10""",
+    "load_delta_keywords": """
+      select 'P' || p_partkey as protein_accession, 'K' || p_size as keyword_id, p_type as keyword_label
+      from part where p_size >= 10""",
+    "load_delta_protein_to_go": f"""
+      select g.* from ({_GO}) g join part on protein_accession = 'P' || p_partkey where p_size >= 10""",
+    "load_delta_taxonomy": """
+      select p_size as ncbi_taxid, p_type as scientific_name,
+             p_type || ' > ' || case when p_size >= 10 then reverse(p_brand) else p_brand end as lineage
+      from (select *, row_number() over (partition by p_size order by p_partkey) as rn from part) t where rn = 1""",
     "load_delta_counts": _part_counts("p_size >= 10", "p_size > 0"),
     "load_rollback_counts": _part_counts("p_size <= 40", "p_size <= 40"),
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import BLOBS, valid_json
 from ..operators import compare, delta, lookup, quality, shred as sh
@@ -18,6 +18,8 @@ from ..operators.dedup import duplicates_removed, keep_first
 from ..session import materialize, scratch_dir
 from ..sources import entries as scan, release_files, snapshots, tsv
 from ..sources.star_entries import (
+    XML_HEAD,
+    XML_TAIL,
     as_fragments,
     document_entries,
     part_entries,
@@ -119,13 +121,14 @@ def shred_go(spark: SparkSession, sf: str) -> DataFrame:
     return sh.shred_go(parsed(spark, sf, "protein_to_go"))
 
 
-def _comment_fields(proteins: DataFrame) -> DataFrame:
+def _comment_fields(proteins: DataFrame, *more: Column) -> DataFrame:
     c = F.col("comments_data")
     return proteins.select(
         "primary_accession",
         lookup.json_field(c, "$[0].attributes.type").alias("comment_type"),
         lookup.json_field(c, "$[0].children[0].text").alias("comment_text"),
         lookup.json_field(c, "$[0].children[1].attributes.id").alias("nested_id"),
+        *more,
     )
 
 
@@ -137,14 +140,21 @@ def json_tree_comments_full(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def json_tree_comments_standard(spark: SparkSession, sf: str) -> DataFrame:
     proteins = sh.shred_proteins(parsed(spark, sf, "proteins", profile="standard"))
-    return _comment_fields(proteins).join(
-        proteins.select(
-            "primary_accession",
-            (F.col("features_data").isNull() & F.col("db_references_data").isNull() & F.col("evidence_data").isNull())
-            .alias("others_missing"),
-        ),
-        "primary_accession",
-    )
+    missing = F.col("features_data").isNull() & F.col("db_references_data").isNull() & F.col("evidence_data").isNull()
+    return _comment_fields(proteins, missing.alias("others_missing"))
+
+
+@query
+def json_tree_prefixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts as written documents with a prefixed attribute whose prefix the root declares."""
+    docs = spread_table(spark, sf, "documents", "doc_id")
+    prefixed = document_entries(docs).withColumn("raw_xml", F.regexp_replace("raw_xml", '<comment type="', '<comment x:kind="text" type="'))
+    path = scratch_dir(spark, "prefixed")
+    write_documents(prefixed, path, 1_000, head=XML_HEAD.replace(" xmlns=", ' xmlns:x="http://example.org/x" xmlns='))
+    raw = scan.dataset_union(spark, {"documents": path})
+    proteins = sh.shred_proteins(sh.parse_entry(raw, "full", ["proteins"]))
+    kind = lookup.json_field(F.col("comments_data"), "$[0].attributes['{http://example.org/x}kind']")
+    return proteins.select("primary_accession", kind.alias("kind"))
 
 
 @query
@@ -182,14 +192,13 @@ def malformed_entries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def incomplete_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Every text as a document of one entry; those in German end in the middle of the root's close tag."""
-    end = F.when(F.col("lang") == "de", "\n</kb").otherwise("\n</kb>\n")
-    parts = read_table(spark, sf, "documents").select(
-        F.lit("documents").alias("dataset"),
-        F.col("doc_id").cast("string").alias("file"),
-        F.explode(F.array(F.lit(None).cast("string"), end)).alias("tail"),
-    )
-    return scan.incomplete_documents(parts)
+    """Texts written as documents of up to 50 entries; every third document ends in the middle of its root's close tag."""
+    path = scratch_dir(spark, "cut")
+    cut = F.when(F.col("doc") % 3 == 0, XML_TAIL.rstrip()[:-3]).otherwise(XML_TAIL)
+    write_documents(document_entries(spread_table(spark, sf, "documents", "doc_id")), path, 50, tail=cut)
+    found = scan.incomplete_documents(scan.scan_fragments(spark, path, "documents"))
+    number = F.regexp_extract("file", r"/doc=(\d+)/", 1).cast("bigint")
+    return found.select("dataset", number.alias("document"), "closed_tails")
 
 
 @query
@@ -261,16 +270,37 @@ def dedup_counts(spark: SparkSession, sf: str) -> DataFrame:
     return duplicates_removed(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def _name_after_folders(spark: SparkSession, path: str, ending: str) -> None:
+    """Move the one file in each ``<path>/<a>/part=<b>`` to ``<path>/<a>/<b><ending>``."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    system = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/*/part=*/part-*")):
+        folder = status.getPath().getParent()
+        name = folder.getName().removeprefix("part=") + ending
+        system.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(folder.getParent(), name))
+
+
 @query
 def verify_checksums(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole texts as files, against a manifest that misses German ones and is wrong for one source."""
-    docs = read_table(spark, sf, "documents")
-    name = F.concat(F.lit("doc_"), F.col("doc_id"), F.lit(".gz"))
-    files = docs.select(name.alias("filename"), F.md5(F.encode("text", "UTF-8")).alias("md5"))
-    text = F.when(F.col("source") == "src1", F.concat("text", F.lit("!"))).otherwise(F.col("text"))
-    line = F.concat(F.md5(F.encode(text, "UTF-8")), F.lit("  "), name)
-    lines = docs.where(F.col("lang") != "de").select(F.col("doc_id").alias("ord"), line.alias("value"))
-    return release_files.verify_checksums(files, release_files.parse_manifest(lines))
+    """Texts as files, one folder a language, whose names repeat in all folders; the manifests miss German files
+    and are wrong for one source."""
+    path = scratch_dir(spark, "release-files")
+    docs = read_table(spark, sf, "documents").select(
+        "lang", F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 5_000)).alias("part"), "doc_id", F.col("text").alias("value")
+    )
+    sorted_ = docs.repartition("lang", "part").sortWithinPartitions("lang", "part", "doc_id")
+    sorted_.select("lang", "part", "value").write.partitionBy("lang", "part").text(path)
+    _name_after_folders(spark, path, ".gz")
+    files = release_files.file_checksums(spark, f"{path}/lang=*/*.gz")
+    content = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "value"))), lambda x: x["value"]), "\n")
+    wrong = F.when(F.col("part").startswith("src1-"), "!").otherwise("\n")
+    listed = docs.where(F.col("lang") != "de").groupBy("lang", "part").agg(content.alias("content")).select(
+        F.concat(F.lit("lang="), F.col("lang")).alias("release"),
+        F.lit(0).alias("ord"),
+        F.concat(F.md5(F.concat("content", wrong)), F.lit("  "), F.col("part"), F.lit(".gz")).alias("value"),
+    )
+    return release_files.verify_checksums(files, release_files.parse_manifest(listed))
 
 
 # ---------------------------------------------------------------- delta
@@ -306,9 +336,16 @@ def release(spark: SparkSession, sf: str) -> dict[str, dict[str, DataFrame]]:
 
     new_key = F.when((status == "O") & (priority == "1-URGENT"), -key - 1).otherwise(key)
     new_natural = F.when((status == "O") & (priority == "2-HIGH"), -key - 1).otherwise(natural)
-    live_children = live.select(key.alias("l_orderkey")).join(lines, "l_orderkey").where(F.col("flag") != "N")
+    # Lines that only one release can have are in it whatever their flag.
+    live_children = (
+        live.select(key.alias("l_orderkey"), (priority == "5-LOW").alias("alone"))
+        .join(lines, "l_orderkey")
+        .where((F.col("flag") != "N") | F.col("alone"))
+    )
     staged_children = (
-        staged.select(key.alias("l_orderkey"), new_key.alias("acc")).join(lines, "l_orderkey").where(F.col("flag") != "R")
+        staged.select(key.alias("l_orderkey"), new_key.alias("acc"), (status == "P").alias("alone"))
+        .join(lines, "l_orderkey")
+        .where((F.col("flag") != "R") | F.col("alone"))
     )
     customer = read_table(spark, sf, "customer")
     return {
@@ -347,9 +384,18 @@ def _parents(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return r["prod"]["proteins"], r["stage"]["proteins"]
 
 
-def _merged(spark: SparkSession, sf: str, table: str, **options) -> DataFrame:
+def _written_children(spark: SparkSession, sf: str) -> dict[str, dict[str, DataFrame]]:
+    """Both releases with their children as written tables, as a load has them."""
     r = release(spark, sf)
-    return delta.apply_delta(r["prod"], r["stage"], DELTA, **options)[table]
+    return {
+        side: tables | {"children": materialize(tables["children"], scratch_dir(spark, "children"))} for side, tables in r.items()
+    }
+
+
+def _merged(spark: SparkSession, sf: str, table: str, **options) -> DataFrame:
+    """One table of the merge, on the path a load takes: small key sets are written."""
+    r = _written_children(spark, sf) if table == "children" else release(spark, sf)
+    return delta.apply_delta(r["prod"], r["stage"], DELTA, work_dir=scratch_dir(spark, "merge"), **options)[table]
 
 
 @query
@@ -498,7 +544,7 @@ def manifest_parse(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("  "),
         F.concat(F.lit("part-"), key, F.when(F.col("p_type") == "PROMO", ".txt").otherwise(".xml.gz")),
     )
-    return release_files.parse_manifest(part.select(F.col("p_partkey").alias("ord"), line.alias("value")))
+    return release_files.parse_manifest(part.select(F.col("p_partkey").alias("ord"), line.alias("value"))).drop("release")
 
 
 @query
@@ -638,7 +684,7 @@ def tsv_roundtrip_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def row_differences(spark: SparkSession, sf: str) -> DataFrame:
-    r = release(spark, sf)
+    r = _written_children(spark, sf)
     return compare.row_differences(r["prod"]["children"], r["stage"]["children"])
 
 
@@ -699,6 +745,17 @@ def load_delta_proteins(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _delta_table(name: str) -> Query:
+    def loaded(spark: SparkSession, sf: str) -> DataFrame:
+        return snapshots.open_snapshot(spark, _two_releases(spark, sf))[name]
+
+    return loaded
+
+
+for _name in ("accessions", "genes", "keywords", "protein_to_go", "taxonomy"):
+    REGISTRY[f"load_delta_{_name}"] = _delta_table(_name)
+
+
 @query
 def load_delta_counts(spark: SparkSession, sf: str) -> DataFrame:
     return compare.table_counts(snapshots.open_snapshot(spark, _two_releases(spark, sf)))

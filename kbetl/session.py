@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settings the load is sized for. Entries are a few KB to some MB, so Arrow batches are kept
 # short in rows; scan tasks read 512 MB of XML so that a 100 TB release gives ~200k tasks.
@@ -52,11 +52,24 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *by: str, partitions: int | None = None) -> DataFrame:
-    """Hash rows over the cluster if there are fewer partitions than cores (gzip, small files).
+# File endings of formats that one task must read from the start.
+UNSPLITTABLE = r"(?i)\.(gz|gzip|zst|zstd|snappy|lz4|deflate|xz|br)$"
+_SPREAD_BYTES = 128 << 20
+_PACKED = 4  # how much larger entries are than their compressed file, for the number of partitions
 
-    Large splittable inputs pass through unchanged. Hashing by value, unlike round robin, gives
-    the same partitions when a lost task is run again.
+
+def spread(df: DataFrame, *by: str, files: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
+    """Hash rows over the cluster if some of the input can't be split.
+
+    ``files`` lists the input (``path``, ``length``). Any compressed file may hold most of the data, so one is
+    enough for the shuffle; the number of partitions follows the bytes. Splittable inputs pass through unchanged.
+    Hashing by value, unlike round robin, gives the same partitions when a lost task is run again.
     """
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *by)
+    if files is None:
+        return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, *by)
+    packed = F.col("path").rlike(UNSPLITTABLE)
+    row = files.agg(F.count_if(packed).alias("n"), F.sum(F.col("length") * F.when(packed, _PACKED).otherwise(1)).alias("bytes")).first()
+    if not row.n:
+        return df
+    enough = max(df.sparkSession.sparkContext.defaultParallelism, -(-(row.bytes or 0) // _SPREAD_BYTES))
+    return df.repartition(partitions or enough, *by)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import spread
 
@@ -15,6 +17,50 @@ Paths = str | Sequence[str]
 FILE_ORDER = ("dataset_ord", "file", "block", "ord")
 
 
+# What can hold markup that isn't markup.
+_HIDDEN = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
+_DECLARATION = r"xmlns:[\w.\-]+\s*=\s*(?:\"[^\"]*\"|'[^']*')"
+_HEAD_BYTES = 1 << 16
+
+
+def input_files(spark: SparkSession, paths: Paths) -> DataFrame:
+    """``path, length`` of the input, from its listing; nothing is read."""
+    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    return files.select("path", "length")
+
+
+def root_declarations(spark: SparkSession, paths: Paths) -> dict[str, list[str]]:
+    """Namespace declarations with a prefix on the documents' roots: the text of the declarations by file.
+
+    Reads the first 64 KB of each file, a few at a time; files without such a declaration are left out.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def head(path: str) -> str:
+        name = jvm.org.apache.hadoop.fs.Path(path)
+        stream = name.getFileSystem(conf).open(name)
+        try:
+            codec = codecs.getCodec(name)
+            source = codec.createInputStream(stream) if codec is not None else stream
+            first = jvm.org.apache.commons.io.input.BoundedInputStream(source, _HEAD_BYTES)
+            return jvm.org.apache.commons.io.IOUtils.toString(first, "UTF-8")
+        finally:
+            stream.close()
+
+    def declared(path: str) -> tuple[str, str]:
+        text = re.sub(_HIDDEN, "", head(path))
+        root = re.search(r"<[A-Za-z_][^<>]*>", text)
+        return path, " ".join(re.findall(_DECLARATION, root[0])) if root else ""
+
+    found: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for path, text in pool.map(declared, (r.path for r in input_files(spark, paths).toLocalIterator())):
+            if text:
+                found.setdefault(text, []).append(path)
+    return found
+
+
 def scan_fragments(
     spark: SparkSession,
     paths: Paths,
@@ -22,21 +68,33 @@ def scan_fragments(
     dataset_ord: int = 0,
     row_tag: str = "entry",
     min_partitions: int | None = None,
+    namespaces: bool = True,
 ) -> DataFrame:
     """Cut documents at the entry close tag; one row per entry plus one row per document tail.
 
-    Plain files are split by Spark like any text file. A gzip file is read by one task, so when
-    the scan has fewer partitions than ``min_partitions`` (default: the cluster's parallelism)
-    the entries are spread over the cluster before they are parsed. File position is taken
-    before that shuffle.
+    Plain files are split by Spark like any text file. A compressed file is read by one task, so if there is
+    any the entries are spread over the cluster before they are parsed, over as many partitions as their bytes
+    need (at least ``min_partitions``). File position is taken before that shuffle.
+
+    Comments and CDATA sections are left out of the search for start tags: an entry inside a comment is no
+    entry, and an empty ``<entry/>`` is none either. What a cut cannot tell apart is never passed on in silence:
+    ``suspect`` marks fragments with a comment or section that is open at the cut, or with a prefixed entry tag,
+    and the gates reject them.
 
-    Columns: dataset, dataset_ord, file, block, ord, raw_xml (NULL on a tail row),
-    starts (entry start tags in the fragment), tail (NULL on an entry row).
+    ``comment_opens`` and ``comment_closes`` let the gates see that a comment holds one entry, not several.
+
+    Columns: dataset, dataset_ord, file, block, ord, raw_xml (NULL on a tail row), starts (entry start tags in
+    the fragment), tail (NULL on an entry row), suspect, namespaces (prefix declarations of the document's root).
     """
     close = f"</{row_tag}>"
-    start = rf"<{row_tag}[\s/>]"
-    text = spark.read.option("lineSep", close).text(paths if isinstance(paths, str) else list(paths))
-    at = F.regexp_instr("value", F.lit(start))
+    start = rf"<{row_tag}[\s>]"
+    reader = spark.read.option("lineSep", close)
+    text = reader.text(paths if isinstance(paths, str) else list(paths))
+    bare = F.when(
+        F.col("value").contains("<!") | F.col("value").rlike(rf"<{row_tag}(?:\s[^<>]*)?/>"),
+        # Hidden parts keep their length, so that places in the text stay true.
+        F.regexp_replace(_blanked(F.col("value"), _HIDDEN), rf"<{row_tag}(?=(?:\s[^<>]*)?/>)", "<" + "-" * len(row_tag)),
+    ).otherwise(F.col("value"))
     rows = text.select(
         F.lit(dataset).alias("dataset"),
         F.lit(dataset_ord).alias("dataset_ord"),
@@ -44,20 +102,41 @@ def scan_fragments(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("ord"),
         "value",
-        at.alias("at"),
+        bare.alias("bare"),
     )
-    rows = spread(rows, "ord", partitions=min_partitions)
-    is_entry = F.col("at") > 0
-    return rows.select(
+    rows = spread(rows, "ord", files=input_files(spark, paths), partitions=min_partitions)
+    rows = rows.withColumn("at", F.regexp_instr("bare", F.lit(start)))
+    opened = F.instr("bare", "<!--")
+    commented = (opened > 0) & (F.col("at") > opened)
+    is_entry = (F.col("at") > 0) & ~commented
+    left_open = F.col("bare").contains("<![CDATA[") | ((opened > 0) & ~commented)
+    fragments = rows.select(
         "dataset",
         "dataset_ord",
         "file",
         "block",
         "ord",
         F.when(is_entry, F.concat(F.expr("substr(value, at)"), F.lit(close))).alias("raw_xml"),
-        F.regexp_count("value", F.lit(start)).alias("starts"),
-        F.when(~is_entry, F.col("value")).alias("tail"),
+        F.when(commented, 0).otherwise(F.regexp_count("bare", F.lit(start))).alias("starts"),
+        # A commented entry leaves no tail of its own: the text goes on behind it.
+        F.when(~is_entry & ~commented, F.col("value")).alias("tail"),
+        (left_open | F.col("bare").rlike(rf"<[\w.\-]+:{row_tag}[\s/>]")).alias("suspect"),
+        commented.alias("comment_opens"),
+        (F.instr("bare", "-->") > 0).alias("comment_closes"),
     )
+    declared = root_declarations(spark, paths) if namespaces else {}
+    if not declared:
+        return fragments.withColumn("namespaces", F.lit(None).cast("string"))
+    by_file = spark.createDataFrame([(p, d) for d, ps in declared.items() for p in ps], "declared_in string, namespaces string")
+    same = F.regexp_replace("file", "^file:/+", "/") == F.regexp_replace("declared_in", "^file:/+", "/")
+    return fragments.join(by_file, same, "left").drop("declared_in")
+
+
+def _blanked(value: Column, pattern: str) -> Column:
+    """``value`` with every character of the matches of ``pattern`` replaced by a blank."""
+    pieces = F.split(value, pattern, -1)
+    hidden = F.transform(F.regexp_extract_all(value, F.lit(pattern), F.lit(0)), lambda m: F.repeat(F.lit(" "), F.length(m)))
+    return F.array_join(F.zip_with(pieces, hidden, lambda p, h: F.concat(p, F.coalesce(h, F.lit("")))), "")
 
 
 def scan_entries(
@@ -68,11 +147,11 @@ def scan_entries(
     row_tag: str = "entry",
     min_partitions: int | None = None,
 ) -> DataFrame:
-    """One row per entry: dataset, dataset_ord, file, block, ord, raw_xml, starts."""
+    """One row per entry: dataset, dataset_ord, file, block, ord, raw_xml, starts, suspect, namespaces."""
     return (
         scan_fragments(spark, paths, dataset, dataset_ord, row_tag, min_partitions)
         .where(F.col("raw_xml").isNotNull())
-        .drop("tail")
+        .drop("tail", "comment_opens", "comment_closes")
     )
 
 
@@ -91,13 +170,20 @@ def entry_count(entries: DataFrame) -> DataFrame:
     )
 
 
+def long_comments(fragments: DataFrame) -> DataFrame:
+    """Places where a comment opened before an entry isn't closed right behind it."""
+    opened = fragments.where("comment_opens").select("dataset", "file", (F.col("ord") + 1).alias("ord"))
+    closed = fragments.where("comment_closes").select("dataset", "file", "ord")
+    return opened.join(closed, ["dataset", "file", "ord"], "left_anti")
+
+
 def incomplete_documents(fragments: DataFrame) -> DataFrame:
     """Files whose text does not end with a closed root element.
 
     A complete document leaves exactly one fragment without an entry, ending in a close tag: a
     file cut anywhere else leaves none, or one that ends in the middle of something.
     """
-    closed = F.col("tail").rlike(r"(</[^<>]+>|/>)\s*(<!--.*-->\s*)*$")
+    closed = F.col("tail").rlike(r"(?s)(</[^<>]+>|/>)\s*(<!--(?:(?!-->).)*-->\s*)*$")
     return (
         fragments.groupBy("dataset", "file")
         .agg(F.count_if(closed).alias("closed_tails"), F.count("tail").alias("tails"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
@@ -19,10 +19,11 @@ register_pickle_by_value(sys.modules[__name__])
 MANIFEST_LINE = r"^\s*([a-f0-9]{32})\s+([\w.\-]+\.gz)\s*$"
 RELEASE_LINE = r"Release\s+(\S+)\s+of\s+(.*)"
 RELEASE_DATE = "d-MMM-yyyy"
-ENTRY_COUNTS = r"Swiss-Prot:\s+([\d,]+)\s+entries and \S*TrEMBL:\s+([\d,]+)\s+entries"
+# Labels of the declared counts, column by column.
+COUNT_LABELS = {"swissprot_entry_count": "Swiss-Prot", "trembl_entry_count": "TrEMBL"}
 
-# Larger files do not fit one binary column.
-_WHOLE_FILE_BYTES = 1 << 30
+# Larger files are hashed piece by piece.
+_WHOLE_FILE_BYTES = 256 << 20
 _CHUNK_BYTES = 8 << 20
 
 
@@ -36,27 +37,27 @@ def read_texts(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, paths: Paths) -> DataFrame:
-    """One row per line: ord (file order), value."""
+    """One row per line: release (the folder its file lies in), ord (file order), value."""
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    return lines.select(F.monotonically_increasing_id().alias("ord"), "value")
+    release = F.element_at(F.split("_metadata.file_path", "/"), -2).alias("release")
+    return lines.select(release, F.monotonically_increasing_id().alias("ord"), "value")
 
 
 def parse_manifest(lines: DataFrame) -> DataFrame:
-    """(filename, md5) of the well-formed lines; a file named twice has its last checksum.
+    """(release, filename, md5) of the well-formed lines; a file named twice has its last checksum.
 
-    ``lines`` has a column ``value`` and, to order repeated names, ``ord``.
+    ``lines`` has a column ``value``, to tell releases apart ``release`` (else NULL), and to order repeated
+    names ``ord``. Without ``ord`` the smallest of different checksums counts.
     """
-    order = F.col("ord") if "ord" in lines.columns else F.lit(0)
-    return (
-        lines.where(F.col("value").rlike(MANIFEST_LINE))
-        .select(
-            F.regexp_extract("value", MANIFEST_LINE, 2).alias("filename"),
-            F.regexp_extract("value", MANIFEST_LINE, 1).alias("md5"),
-            order.alias("ord"),
-        )
-        .groupBy("filename")
-        .agg(F.max_by("md5", "ord").alias("md5"))
+    has = lines.columns
+    found = lines.where(F.col("value").rlike(MANIFEST_LINE)).select(
+        (F.col("release") if "release" in has else F.lit(None).cast("string")).alias("release"),
+        F.regexp_extract("value", MANIFEST_LINE, 2).alias("filename"),
+        F.regexp_extract("value", MANIFEST_LINE, 1).alias("md5"),
+        *([F.col("ord")] if "ord" in has else []),
     )
+    last = F.max_by("md5", "ord") if "ord" in has else F.min("md5")
+    return found.groupBy("release", "filename").agg(last.alias("md5"))
 
 
 def parse_release_date(texts: DataFrame, strict: bool = True) -> DataFrame:
@@ -80,14 +81,19 @@ def parse_release_date(texts: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def parse_release_counts(texts: DataFrame) -> DataFrame:
-    """Adds the two declared entry counts; 0 where the text does not give them."""
+def parse_release_counts(texts: DataFrame, labels: Mapping[str, str] = COUNT_LABELS) -> DataFrame:
+    """Adds one declared entry count for each label, by column name; 0 where the text does not give it.
+
+    A count is the number between a label with a colon and the word ``entries``. The label is a word of its own,
+    or the last part of a name with slashes.
+    """
 
-    def count(i: int) -> Column:
-        digits = F.replace(F.regexp_extract("value", ENTRY_COUNTS, i), F.lit(","), F.lit(""))
+    def count(label: str) -> Column:
+        stated = rf"(?<![^\s/])\Q{label}\E:\s+([0-9][0-9,]*)\s+entries\b"
+        digits = F.replace(F.regexp_extract("value", stated, 1), F.lit(","), F.lit(""))
         return F.coalesce(digits.try_cast("int"), F.lit(0))
 
-    return texts.withColumns({"swissprot_entry_count": count(1), "trembl_entry_count": count(2)})
+    return texts.withColumns({name: count(label) for name, label in labels.items()})
 
 
 def release_catalog(dates: DataFrame, notes: DataFrame, on: str = "release") -> DataFrame:
@@ -101,38 +107,52 @@ def release_catalog(dates: DataFrame, notes: DataFrame, on: str = "release") ->
 
 
 def file_checksums(spark: SparkSession, paths: Paths) -> DataFrame:
-    """(filename, md5) of files. Files up to 1 GiB are hashed as one value; larger ones are read in
-    chunks, one file per task."""
+    """(release, filename, md5) of files; the release is the folder a file lies in.
+
+    Files that fit a binary value are read by Spark, from any store. Larger ones are read in chunks by the task,
+    one file per task, through the client of their scheme (local files, hdfs, s3a, gs, abfs); the sums are equal.
+    """
     files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    name = F.element_at(F.split("path", "/"), -1).alias("filename")
-    small = files.where(F.col("length") <= _WHOLE_FILE_BYTES).select(name, F.md5("content").alias("md5"))
-    large = files.where(F.col("length") > _WHOLE_FILE_BYTES).select(name, "path")
-    hashed = large.repartition("path").mapInPandas(_hash_in_chunks, "filename string, md5 string")
+    parts = F.split("path", "/")
+    release, name = F.element_at(parts, -2).alias("release"), F.element_at(parts, -1).alias("filename")
+    small = files.where(F.col("length") <= _WHOLE_FILE_BYTES).select(release, name, F.md5("content").alias("md5"))
+    large = files.where(F.col("length") > _WHOLE_FILE_BYTES).select(release, name, "path")
+    hashed = large.repartition("path").mapInPandas(_hash_in_chunks, "release string, filename string, md5 string")
     return small.unionByName(hashed)
 
 
+# Schemes of the Hadoop client and the names the chunked reader has for them.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
+
+
 def _hash_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
     for batch in batches:
         sums = []
         for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(path)
+            scheme, colon, rest = path.partition(":")
+            system, inner = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}" if colon else path)
             md5 = hashlib.md5()
             with system.open_input_stream(inner, compression=None) as stream:
                 while chunk := stream.read(_CHUNK_BYTES):
                     md5.update(chunk)
             sums.append(md5.hexdigest())
-        yield pd.DataFrame({"filename": batch["filename"], "md5": sums})
+        yield pd.DataFrame({"release": batch["release"], "filename": batch["filename"], "md5": sums})
 
 
 def verify_checksums(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """(filename, status): valid, mismatch, or unlisted (accepted, the manifest does not name it)."""
-    expected = manifest.select("filename", F.col("md5").alias("expected"))
-    return files.join(expected, "filename", "left").select(
+    """(release, filename, status): valid, mismatch, or unlisted (accepted, the manifest does not name it).
+
+    Both sides have a release, or none of them (NULL): equal names in different releases are different files.
+    """
+    expected = manifest.select(F.col("release").alias("_release"), F.col("filename").alias("_filename"), F.col("md5").alias("_expected"))
+    same = F.col("release").eqNullSafe(F.col("_release")) & (F.col("filename") == F.col("_filename"))
+    return files.join(expected, same, "left").select(
+        "release",
         "filename",
-        F.when(F.col("expected").isNull(), "unlisted")
-        .when(F.col("expected") == F.col("md5"), "valid")
+        F.when(F.col("_expected").isNull(), "unlisted")
+        .when(F.col("_expected") == F.col("md5"), "valid")
         .otherwise("mismatch")
         .alias("status"),
     )

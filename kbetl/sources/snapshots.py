@@ -88,12 +88,34 @@ def stage_tables(
     return {n: spark.read.schema(t.schema).parquet(f"{base}/{n}") for n, t in TABLES.items()}
 
 
+def release_day(value: date | str | None) -> date | None:
+    """A date, or ISO text of one; anything else is an error."""
+    if isinstance(value, datetime):
+        return value.date()
+    if value is None or isinstance(value, date):
+        return value
+    if isinstance(value, str):
+        return date.fromisoformat(value.strip())
+    raise ValueError(f"release_date must be a date or ISO text, not {value!r}")
+
+
+def check_release(info: Mapping) -> None:
+    """Raises unless ``info`` has a version and, if any, a readable date: before anything is written."""
+    if not info.get("version"):
+        raise ValueError("the release has no version")
+    release_day(info.get("release_date"))
+
+
+class NotLiveError(RuntimeError):
+    """Another load published in the meantime."""
+
+
 def write_release_metadata(spark: SparkSession, root: str, generation: str, info: Mapping) -> None:
     """The one metadata row of a generation, stamped with the load time."""
-    released = info.get("release_date")
+    check_release(info)
     row = Row(
         version=info["version"],
-        release_date=released if isinstance(released, date) else None,
+        release_date=release_day(info.get("release_date")),
         load_timestamp=_now(),
         swissprot_entry_count=info.get("swissprot_entry_count") or 0,
         trembl_entry_count=info.get("trembl_entry_count") or 0,
@@ -113,12 +135,46 @@ def current_generation(spark: SparkSession, root: str) -> str | None:
     return row.generation if row else None
 
 
-def publish(spark: SparkSession, root: str, generation: str, mode: str = "full") -> None:
-    """Make a completely written generation live. Publishing an older one again is the rollback."""
+ANY_GENERATION = object()
+
+
+def publish(spark: SparkSession, root: str, generation: str, mode: str = "full", expected: object = ANY_GENERATION) -> None:
+    """Make a completely written generation live. Publishing an older one again is the rollback.
+
+    ``expected`` is the generation the new one was built on (None: none): if another one is live, or turns out
+    to have been published at the same time, nothing is lost in silence but :class:`NotLiveError` is raised.
+    """
     last = publications(spark, root).first()
+    if expected is not ANY_GENERATION and (last.generation if last else None) != expected:
+        raise NotLiveError(f"{last.generation if last else None} is live, not {expected}")
     row = ((last.seq if last else 0) + 1, generation, mode, _now())
     df = spark.createDataFrame([row], PUBLICATIONS).coalesce(1)
     df.write.mode("append").parquet(f"{root.rstrip('/')}/publications")
+    same = publications(spark, root).where(F.col("seq") == row[0]).collect()
+    if expected is not ANY_GENERATION and len(same) > 1:
+        raise NotLiveError(f"published together: {sorted(r.generation for r in same)}; load the later release again")
+
+
+def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove work folders and all generations but the live one and the ``keep`` published before it.
+
+    Not while a load runs below ``root``. Returns the names of what was removed.
+    """
+    if keep < 0:
+        raise ValueError("keep must not be negative")
+    published = [r.generation for r in publications(spark, root).select("generation").collect()]
+    stay = set(list(dict.fromkeys(published))[: keep + 1])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = []
+    for folder in ("work", "generations"):
+        base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{folder}")
+        system = base.getFileSystem(conf)
+        for status in system.listStatus(base) if system.exists(base) else ():
+            name = status.getPath().getName()
+            if folder == "work" or name not in stay:
+                system.delete(status.getPath(), True)
+                removed.append(f"{folder}/{name}")
+    return removed
 
 
 def publish_full(

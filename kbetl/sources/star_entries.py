@@ -39,7 +39,7 @@ def part_entries(part: DataFrame) -> DataFrame:
     size = F.col("p_size").cast("string")
     has_name = F.col("p_type") != "PROMO"
     raw = _cat(
-        '<entry dataset="part" created="2000-05-30" modified="2024-07-17" version="3">\n',
+        '<entry dataset="part" created="1998-02-03" modified="2021-11-05" version="3">\n',
         "  <accession>P", key, "</accession>\n",
         _case(F.col("p_type").isin("ECONOMY", "SMALL"), "  <accession>S", key, "</accession>\n"),
         "  <name>ID_", key, "</name>\n",
@@ -77,7 +77,7 @@ def document_entries(documents: DataFrame, escape: bool = True) -> DataFrame:
     key = F.col("doc_id").cast("string")
     text = escaped(F.col("text")) if escape else F.col("text")
     raw = _cat(
-        '<entry dataset="documents" created="2010-10-12" modified="2024-07-18" version="1">\n',
+        '<entry dataset="documents" created="2005-06-07" modified="2022-01-09" version="1">\n',
         "  <accession>D", key, "</accession>\n",
         "  <name>DOC_", key, "</name>\n",
         "  <gene><name type=\"primary\">", escaped(F.col("source")), "</name></gene>\n",
@@ -102,9 +102,13 @@ def as_fragments(entries: DataFrame, dataset: str, dataset_ord: int = 0) -> Data
     )
 
 
-def write_documents(entries: DataFrame, path: str, per_document: int = 100_000, gzip: bool = False) -> None:
+def write_documents(
+    entries: DataFrame, path: str, per_document: int = 100_000, gzip: bool = False, head: str = XML_HEAD, tail: Column | str = XML_TAIL
+) -> None:
     """Write entries as complete documents of up to ``per_document`` consecutive keys each.
 
+    ``tail`` may depend on the number of the document, ``doc``.
+
     The head and tail rows of a document sort around its entries; each document is one file.
     """
     doc = F.floor(F.col("key") / per_document).alias("doc")
@@ -113,8 +117,8 @@ def write_documents(entries: DataFrame, path: str, per_document: int = 100_000,
         "doc",
         F.inline(
             F.array(
-                F.struct(F.lit(0).alias("place"), F.lit(0).cast("bigint").alias("key"), F.lit(XML_HEAD).alias("value")),
-                F.struct(F.lit(2).alias("place"), F.lit(0).cast("bigint").alias("key"), F.lit(XML_TAIL).alias("value")),
+                F.struct(F.lit(0).alias("place"), F.lit(0).cast("bigint").alias("key"), F.lit(head).alias("value")),
+                F.struct(F.lit(2).alias("place"), F.lit(0).cast("bigint").alias("key"), (F.lit(tail) if isinstance(tail, str) else tail).alias("value")),
             )
         ),
     )

@@ -30,10 +30,18 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="module")
+def codegen(spark):
+    """The plans users get: most modules run without whole-stage code to save compile time."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 def entry(
-    accession="P1", *, name="NAME1", full_name="Protein 1", taxid="9606", organism="Homo sapiens",
-    lineage=("Eukaryota", "Metazoa"), sequence="MTEST", length="5", mass="10", secondary=(), genes=(), go=(),
-    keywords=(), created="2000-05-30", modified="2024-07-17", extra="",
+    accession="P1", *, name="NAME1", full_name="Protein 1", taxid="9301", organism="Rana lucis",
+    lineage=("Amphibia", "Anura"), sequence="MTEST", length="5", mass="10", secondary=(), genes=(), go=(),
+    keywords=(), created="2003-04-11", modified="2022-09-23", extra="",
 ):
     """One entry as text; parts given as None are left out."""
     out = [f'<entry dataset="d" created="{created}" modified="{modified}" version="1">']
@@ -66,13 +74,13 @@ def document(*entries):
 
 RELEASE_1 = document(
     entry(
-        "P12345", name="TEST1_HUMAN", full_name="Test protein 1", sequence="\nMTEST\nSEQAA\n", length="10", mass="1111",
-        secondary=["Q9Y5Y5"], genes=[[("primary", "TP1")]], go=["GO:0005515"],
-        keywords=[("KW-0181", "Complete proteome")],
+        "W7AB01", name="LAMP_FROG", full_name="Lamp oil carrier", sequence="\nMKLLA\nVWGGH\n", length="10", mass="1307",
+        secondary=["V3XY09"], genes=[[("primary", "LMP")]], go=["GO:0990017"],
+        keywords=[("KX-0042", "Oil binding")],
     ),
     entry(
-        "P67890", name="TEST2_MOUSE", full_name="Test protein 2", taxid="10090", organism="Mus musculus",
-        sequence="MTESTSEQBBBB", length="12", mass="2222", created="2010-10-12", modified="2024-07-18",
+        "W7CD02", name="DOOR_TOAD", full_name="Door hinge factor", taxid="10871", organism="Bufo portae",
+        sequence="MRRNDQEYYPSF", length="12", mass="1588", created="2012-01-05", modified="2023-02-14",
     ),
 )
 

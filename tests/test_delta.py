@@ -22,6 +22,8 @@ SCHEMAS = {
 }
 CASES = 150
 
+pytestmark = pytest.mark.usefixtures("codegen")
+
 
 def random_side(rng, case, side):
     """Small key space, so that keys and natural keys collide, move, swap, repeat and vanish."""

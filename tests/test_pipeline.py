@@ -10,11 +10,11 @@ from kbetl.plans.load import StaleReleaseError, run_load, version_gate
 from kbetl.sources import snapshots
 
 RELEASE_2 = document(
-    entry("P12345", name="TEST1_HUMAN", full_name="Renamed", sequence="MTESTSEQAAC", length="11", mass="1122",
-          genes=[[("primary", "TP1_UPDATED")]], keywords=[("KW-0181", "Other label")], created="2001-01-01"),
-    entry("A0A0A0", name="NEW_HUMAN", full_name="New protein", sequence="NEW", length="3"),
+    entry("W7AB01", name="LAMP_FROG", full_name="Renamed", sequence="MKLLAVWGGHT", length="11", mass="1408",
+          genes=[[("primary", "LMPX")]], keywords=[("KX-0042", "Other label")], created="2001-01-01"),
+    entry("W8EF03", name="ROOF_FROG", full_name="New protein", sequence="NEW", length="3"),
 )
-REKEYED = document(entry("A1B2C3", name="TEST1_HUMAN", full_name="Moved", secondary=["P12345"], sequence="MV"))
+REKEYED = document(entry("W9GH04", name="LAMP_FROG", full_name="Moved", secondary=["W7AB01"], sequence="MV"))
 
 
 def info(version):
@@ -38,8 +38,8 @@ def history(spark, root):
 
 def test_full_load(spark, root):
     t = snapshots.open_snapshot(spark, root)
-    assert accessions(spark, root) == ["P12345", "P67890"]
-    assert rows(t["genes"]) == [("P12345", "TP1", True)]
+    assert accessions(spark, root) == ["W7AB01", "W7CD02"]
+    assert rows(t["genes"]) == [("W7AB01", "LMP", True)]
     (meta,) = t["release_metadata"].collect()
     assert (meta.version, meta.release_date, meta.swissprot_entry_count) == ("2025_01", date(2025, 9, 8), 2)
     assert meta.load_timestamp is not None
@@ -52,15 +52,15 @@ def test_full_load(spark, root):
 def test_delta_updates_inserts_and_deletes(spark, root, write):
     run_load(spark, {"swissprot": write(RELEASE_2, "v2.xml")}, root, info("2025_02"), "delta")
     t = snapshots.open_snapshot(spark, root)
-    assert accessions(spark, root) == ["A0A0A0", "P12345"]
-    old = t["proteins"].where("primary_accession = 'P12345'").first()
-    assert (old.protein_name, old.created_date) == ("Test protein 1", date(2000, 5, 30))
+    assert accessions(spark, root) == ["W7AB01", "W8EF03"]
+    old = t["proteins"].where("primary_accession = 'W7AB01'").first()
+    assert (old.protein_name, old.created_date) == ("Lamp oil carrier", date(2003, 4, 11))
     assert old.sequence_length == 11
-    assert rows(t["genes"]) == [("P12345", "TP1_UPDATED", True)]
-    assert rows(t["keywords"]) == [("P12345", "KW-0181", "Complete proteome")]
-    assert rows(t["sequences"]) == [("A0A0A0", "NEW"), ("P12345", "MTESTSEQAAC")]
+    assert rows(t["genes"]) == [("W7AB01", "LMPX", True)]
+    assert rows(t["keywords"]) == [("W7AB01", "KX-0042", "Oil binding")]
+    assert rows(t["sequences"]) == [("W7AB01", "MKLLAVWGGHT"), ("W8EF03", "NEW")]
     assert rows(t["protein_to_go"]) == [] and rows(t["accessions"]) == []
-    assert rows(t["taxonomy"], "ncbi_taxid") == [(10090,), (9606,)]
+    assert rows(t["taxonomy"], "ncbi_taxid") == [(10871,), (9301,)]
     assert snapshots.latest_release(spark, root) == "2025_02"
     assert history(spark, root) == [("COMPLETED", "full"), ("COMPLETED", "delta")]
 
@@ -68,15 +68,15 @@ def test_delta_updates_inserts_and_deletes(spark, root, write):
 def test_delta_with_moved_accession(spark, root, write):
     run_load(spark, {"swissprot": write(REKEYED, "v3.xml")}, root, info("2025_03"), "delta")
     t = snapshots.open_snapshot(spark, root)
-    assert rows(t["proteins"], "primary_accession", "protein_name") == [("A1B2C3", "Moved")]
-    assert rows(t["accessions"]) == [("A1B2C3", "P12345")]
-    assert rows(t["genes"]) == [] and rows(t["sequences"]) == [("A1B2C3", "MV")]
+    assert rows(t["proteins"], "primary_accession", "protein_name") == [("W9GH04", "Moved")]
+    assert rows(t["accessions"]) == [("W9GH04", "W7AB01")]
+    assert rows(t["genes"]) == [] and rows(t["sequences"]) == [("W9GH04", "MV")]
 
 
 def test_delta_into_nothing(spark, write, tmp_path):
     root = str(tmp_path / "fresh")
     run_load(spark, {"d": write(RELEASE_1)}, root, info("2025_01"), "delta")
-    assert accessions(spark, root) == ["P12345", "P67890"]
+    assert accessions(spark, root) == ["W7AB01", "W7CD02"]
 
 
 def test_version_gate(spark, root, write):
@@ -106,7 +106,7 @@ def test_failed_load_changes_nothing(spark, root, write, bad):
         with pytest.raises(Exception):
             run_load(spark, {"d": write(bad, "bad.xml")}, root, info("2025_09"), mode)
     assert snapshots.current_generation(spark, root) == live
-    assert accessions(spark, root) == ["P12345", "P67890"]
+    assert accessions(spark, root) == ["W7AB01", "W7CD02"]
     last = snapshots.load_history(spark, root).collect()[-1]
     assert last.status == "FAILED" and last.error_message and last.generation == live
 
@@ -117,6 +117,44 @@ def test_wrong_mode_is_logged(spark, root, write):
     assert history(spark, root)[-1][0] == "FAILED"
 
 
+@pytest.mark.parametrize(
+    "release, options, message",
+    [
+        (info("2025_09") | {"release_date": "yesterday"}, {}, "isoformat"),
+        (info("2025_09") | {"release_date": 20250901}, {}, "release_date"),
+        (info(None), {}, "no version"),
+        (info("2025_09"), {"on_duplicate": "first"}, "on_duplicate"),
+    ],
+)
+def test_wrong_arguments_stop_before_any_work(spark, root, write, release, options, message):
+    live = snapshots.current_generation(spark, root)
+    work = sorted(os.listdir(f"{root}/work"))
+    with pytest.raises(ValueError, match=message):
+        run_load(spark, {"d": write(RELEASE_1)}, root, release, **options)
+    assert snapshots.current_generation(spark, root) == live and sorted(os.listdir(f"{root}/work")) == work
+
+
+def test_release_date_as_text(spark, write, tmp_path):
+    root = str(tmp_path / "text")
+    run_load(spark, {"d": write(RELEASE_1)}, root, info("1") | {"release_date": "2025-09-08"})
+    assert rows(snapshots.open_snapshot(spark, root)["release_metadata"], "release_date") == [(date(2025, 9, 8),)]
+
+
+def test_publication_onto_another_live_generation_is_refused(spark, root):
+    live = snapshots.current_generation(spark, root)
+    with pytest.raises(snapshots.NotLiveError):
+        snapshots.publish(spark, root, "mine", "delta", expected="other")
+    assert snapshots.current_generation(spark, root) == live
+
+
+def test_expire(spark, root, write):
+    run_load(spark, {"d": write(REKEYED, "v3.xml")}, root, info("2025_03"))
+    live = snapshots.current_generation(spark, root)
+    removed = snapshots.expire(spark, root, keep=0)
+    assert len([r for r in removed if r.startswith("generations/")]) == 1 and os.listdir(f"{root}/work") == []
+    assert os.listdir(f"{root}/generations") == [live] and accessions(spark, root) == ["W9GH04"]
+
+
 def test_two_datasets_keep_the_first_taxon(spark, write, tmp_path):
     root = str(tmp_path / "two")
     sources = {
@@ -125,7 +163,7 @@ def test_two_datasets_keep_the_first_taxon(spark, write, tmp_path):
     }
     run_load(spark, sources, root, info("1"))
     t = snapshots.open_snapshot(spark, root)
-    assert rows(t["taxonomy"], "ncbi_taxid", "scientific_name") == [(1, "c"), (9606, "one")]
+    assert rows(t["taxonomy"], "ncbi_taxid", "scientific_name") == [(1, "c"), (9301, "one")]
     assert snapshots.load_history(spark, root).first().dataset == "all"
     with pytest.raises(QualityError, match="duplicate primary accession"):
         run_load(spark, {"a": sources["swissprot"], "b": sources["swissprot"]}, root, info("2"))
@@ -154,21 +192,21 @@ def test_empty_release(spark, write, tmp_path):
 def test_archive_rollback_and_names(spark, root, write):
     first = snapshots.current_generation(spark, root)
     run_load(spark, {"d": write(REKEYED, "v3.xml")}, root, info("2025_03"))
-    assert accessions(spark, root) == ["A1B2C3"]
-    assert accessions(spark, root, generation=first) == ["P12345", "P67890"]
+    assert accessions(spark, root) == ["W9GH04"]
+    assert accessions(spark, root, generation=first) == ["W7AB01", "W7CD02"]
     snapshots.publish(spark, root, first, "rollback")
-    assert accessions(spark, root) == ["P12345", "P67890"]
+    assert accessions(spark, root) == ["W7AB01", "W7CD02"]
     assert [p.mode for p in snapshots.publications(spark, root).collect()] == ["rollback", "full", "full"]
     renamed = snapshots.open_snapshot(spark, root, rename={"entry_name": "natural_id"})
     snapshots.register_views(renamed, "kb_")
-    got = spark.sql("select natural_id from kb_proteins p join kb_taxonomy t using (ncbi_taxid) where t.ncbi_taxid = 9606")
-    assert rows(got) == [("TEST1_HUMAN",)]
+    got = spark.sql("select natural_id from kb_proteins p join kb_taxonomy t using (ncbi_taxid) where t.ncbi_taxid = 9301")
+    assert rows(got) == [("LAMP_FROG",)]
 
 
 def test_staged_tables_are_invisible(spark, root):
     generation = snapshots.new_generation()
     snapshots.stage_tables(spark, {}, root, generation)
-    assert accessions(spark, root) == ["P12345", "P67890"]
+    assert accessions(spark, root) == ["W7AB01", "W7CD02"]
     assert accessions(spark, root, generation=generation) == []
 
 
@@ -194,5 +232,5 @@ def test_lookup_files_carry_statistics(spark, root):
     generation = snapshots.current_generation(spark, root)
     folder = snapshots.generation_dir(root, generation)
     assert {d for d in os.listdir(folder)} >= set(snapshots.TABLES) | {"release_metadata"}
-    genes = snapshots.open_snapshot(spark, root)["genes"].where("gene_name = 'TP1'")
-    assert "EqualTo(gene_name,TP1)" in genes._jdf.queryExecution().executedPlan().toString()
+    genes = snapshots.open_snapshot(spark, root)["genes"].where("gene_name = 'LMP'")
+    assert "EqualTo(gene_name,LMP)" in genes._jdf.queryExecution().executedPlan().toString()

@@ -23,7 +23,7 @@ def test_manifest(spark, write):
         "ffffffffffffffffffffffffffffffff  a_sprot.xml.gz\n",
         "md5",
     )
-    assert rows(rf.parse_manifest(rf.read_lines(spark, path))) == [
+    assert rows(rf.parse_manifest(rf.read_lines(spark, path)), "filename", "md5") == [
         ("a_sprot.xml.gz", "f" * 32), ("b.xml.gz", "0123456789abcdef0123456789abcdef"),
     ]
 
@@ -67,15 +67,25 @@ def test_checksums(spark, tmp_path, monkeypatch, whole_file_bytes):
     for name, data in {"a.gz": b"alpha", "b.gz": b"beta", "c.gz": b"x"}.items():
         (tmp_path / name).write_bytes(data)
     files = rf.file_checksums(spark, str(tmp_path))
-    assert rows(files) == sorted((n, hashlib.md5((tmp_path / n).read_bytes()).hexdigest()) for n in ("a.gz", "b.gz", "c.gz"))
+    assert rows(files, "filename", "md5") == sorted((n, hashlib.md5((tmp_path / n).read_bytes()).hexdigest()) for n in ("a.gz", "b.gz", "c.gz"))
     lines = spark.createDataFrame(
-        [(hashlib.md5(b"alpha").hexdigest() + "  a.gz",), ("0" * 32 + "  b.gz",)], "value string"
+        [(tmp_path.name, hashlib.md5(b"alpha").hexdigest() + "  a.gz"), (tmp_path.name, "0" * 32 + "  b.gz")], "release string, value string"
     )
-    assert rows(rf.verify_checksums(files, rf.parse_manifest(lines))) == [
+    assert rows(rf.verify_checksums(files, rf.parse_manifest(lines)), "filename", "status") == [
         ("a.gz", "valid"), ("b.gz", "mismatch"), ("c.gz", "unlisted"),
     ]
 
 
+def test_same_file_name_in_two_releases(spark, tmp_path):
+    for release, data in (("r1", b"one"), ("r2", b"two")):
+        (tmp_path / release).mkdir()
+        (tmp_path / release / "a.gz").write_bytes(data)
+        (tmp_path / release / "md5").write_text(hashlib.md5(data).hexdigest() + "  a.gz\n")
+    files = rf.file_checksums(spark, f"{tmp_path}/*/*.gz")
+    manifest = rf.parse_manifest(rf.read_lines(spark, f"{tmp_path}/*/md5"))
+    assert rows(rf.verify_checksums(files, manifest)) == [("r1", "a.gz", "valid"), ("r2", "a.gz", "valid")]
+
+
 def test_tsv_round_trip(spark, tmp_path):
     data = [
         ("P1", "g\t1", True), ("P2", ' "quoted" \n two\r\nlines ', False), ("P3", "", None), ("P4", None, True),
