@@ -10,7 +10,8 @@ packed into compressed blocks of ``BLOCK_ENTRIES`` and written. The block direct
 
 Lookup: a key is searched by bisection in a top level of at most ``TOP_ENTRIES`` keys (the only thing sent to all
 tasks), then in the part of the directory below it, then in the blocks found. Of the segments only those with a
-wanted record are read, and only the wanted ranges are parsed.
+wanted record are read: ``read_records`` cuts the wanted ranges out of them, ``describe_records`` checks many records
+where they are and moves no payload.
 """
 
 from __future__ import annotations
@@ -73,7 +74,10 @@ def mark_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
 
 
 def write_archive(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z", segment_bytes: int = SEGMENT_BYTES) -> None:
-    """One WARC record per row of :func:`mark_revisits` into segments below ``path`` of about ``segment_bytes``."""
+    """One WARC record per row of :func:`mark_revisits` into segments below ``path``.
+
+    Each task writes its rows as they come, to a new segment after as many records as ``segment_bytes`` hold on average.
+    """
     revisit = F.col("refers_to").isNotNull()
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{_CRLF}Content-Type: text/html; charset=utf-8{_CRLF}Content-Length: "), F.col("payload_bytes"), F.lit(_GAP))
@@ -90,9 +94,9 @@ def write_archive(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z
         F.concat(F.lit("Content-Length: "), F.octet_length("block").cast("string")),
     ]
     record = F.concat(F.concat_ws(_CRLF, *fields), F.lit(_GAP), F.col("block"))
-    total = pages.agg(F.sum(F.when(revisit, 0).otherwise(F.col("payload_bytes")) + 700)).first()[0] or 0
+    average = pages.agg(F.avg(F.when(revisit, 0).otherwise(F.col("payload_bytes")) + 700)).first()[0] or 1
     rows = pages.withColumn("block", block).select(record.alias("value"))
-    rows.repartition(max(1, -(-total // segment_bytes))).write.option("lineSep", _GAP).text(path)
+    rows.write.option("lineSep", _GAP).option("maxRecordsPerFile", max(1, int(segment_bytes / average))).text(path)
 
 
 def _header(content: memoryview, at: int) -> tuple[dict[str, str], int]:
@@ -229,36 +233,69 @@ def _bounds(key: str) -> tuple[bytes, bytes]:
     return f"{key} ".encode(), f"{key}!".encode()
 
 
-def read_records(spark: SparkSession, archive: str, located: DataFrame) -> DataFrame:
-    """``page, url, record_type, refers_to, payload_bytes, payload_digest, payload`` of the records at the given places.
+_RECORD = "page string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string"
 
-    A response whose payload doesn't have the digest of its header is an error. A revisit has no payload here;
-    its size and digest are those its header gives.
-    """
-    names = [r.segment for r in located.select("segment").distinct().limit(LISTED_SEGMENTS + 1).collect()]
-    content = segments(spark, archive, names if 0 < len(names) <= LISTED_SEGMENTS else None)
-    named = content.select(F.element_at(F.split("path", "/"), -1).alias("segment"), "content")
 
-    def cut(wanted: pa.Table, segment: pa.Table) -> pa.Table:
-        rows = []
-        for content in segment.column("content"):
+def _record(data: memoryview, at: int, length: int) -> tuple:
+    """What the record at ``at`` says of itself, and its payload; a payload without the header's digest is an error."""
+    fields, start = _header(data, at)
+    http = bytes(data[start : at + length])
+    head = http.index(_GAP.encode())
+    size = int(http[:head].rsplit(b": ", 1)[1])
+    digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
+    payload = http[head + 4 :] if fields["WARC-Type"] == "response" else None
+    if payload is not None and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
+        raise ValueError(f"record {fields['WARC-Record-ID']} doesn't have its digest")
+    refers = fields.get("WARC-Refers-To", "")[10:-1] or None
+    return fields["WARC-Record-ID"][10:-1], fields["WARC-Target-URI"], fields["WARC-Type"], refers, size, digest, payload
+
+
+_RECORD_KINDS = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string())
+_RECORD_NAMES = ["page", "url", "record_type", "refers_to", "payload_bytes", "payload_digest"]
+
+
+def _all_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segment, place and description of every record of the segments (columns path, content)."""
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             data = memoryview(content.as_buffer())
-            for at, length in zip(wanted.column("at").to_pylist(), wanted.column("length").to_pylist(), strict=True):
+            rows, at = [], 0
+            while at < len(data):
                 fields, start = _header(data, at)
-                http = bytes(data[start : at + length])
-                head = http.index(_GAP.encode())
-                size = int(http[:head].rsplit(b": ", 1)[1])
-                digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
-                payload = http[head + 4 :] if fields["WARC-Type"] == "response" else None
-                if payload is not None and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
-                    raise ValueError(f"record {fields['WARC-Record-ID']} doesn't have its digest")
-                rows.append((fields["WARC-Record-ID"][10:-1], fields["WARC-Target-URI"], fields["WARC-Type"], fields.get("WARC-Refers-To", "")[10:-1] or None, size, digest, payload))
-        kinds = (pa.string(),) * 4 + (pa.int64(), pa.string(), pa.binary())
-        fields_ = ["page", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
-        return pa.table([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * 7, kinds, strict=True)], names=fields_)
-
-    schema = "page string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary"
-    return located.groupBy("segment").cogroup(named.groupBy("segment")).applyInArrow(cut, schema)
+                end = start + int(fields["Content-Length"])
+                rows.append((path.rsplit("/", 1)[-1], at, *_record(data, at, end - at)[:-1]))
+                at = end + len(_GAP)
+            columns = zip(*rows, strict=True) if rows else [()] * 8
+            arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), *_RECORD_KINDS), strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["segment", "at", *_RECORD_NAMES])
+
+
+def _wanted_segments(spark: SparkSession, archive: str, located: DataFrame) -> DataFrame:
+    names = [r.segment for r in located.select("segment").distinct().limit(LISTED_SEGMENTS + 1).collect()]
+    return segments(spark, archive, names if 0 < len(names) <= LISTED_SEGMENTS else None)
+
+
+def describe_records(spark: SparkSession, archive: str, located: DataFrame) -> DataFrame:
+    """``page, url, record_type, refers_to, payload_bytes, payload_digest`` of the records at the given places.
+
+    For many records: payloads are read and their digests checked where their segment is read, and never shuffled.
+    A revisit's size and digest are those its header gives.
+    """
+    found = _wanted_segments(spark, archive, located).mapInArrow(_all_records, f"segment string, at long, {_RECORD}")
+    return found.join(located.select("segment", "at"), ["segment", "at"], "left_semi").drop("segment", "at")
+
+
+def read_records(spark: SparkSession, archive: str, located: DataFrame) -> DataFrame:
+    """As :func:`describe_records`, with the ``payload`` (null for a revisit); only the wanted ranges are parsed."""
+    named = _wanted_segments(spark, archive, located).select(F.element_at(F.split("path", "/"), -1).alias("segment"), "content")
+
+    def cut(wanted: pa.Table, segment: pa.Table) -> pa.Table:
+        places = list(zip(wanted.column("at").to_pylist(), wanted.column("length").to_pylist(), strict=True))
+        rows = [_record(memoryview(content.as_buffer()), at, length) for content in segment.column("content") for at, length in places]
+        columns = zip(*rows, strict=True) if rows else [()] * 7
+        return pa.table([pa.array(c, k) for c, k in zip(columns, (*_RECORD_KINDS, pa.binary()), strict=True)], names=[*_RECORD_NAMES, "payload"])
+
+    return located.groupBy("segment").cogroup(named.groupBy("segment")).applyInArrow(cut, f"{_RECORD}, payload binary")
 
 
 def archive_pages(
@@ -282,7 +319,7 @@ def archive_pages(
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     archive, index = archive_pages(pages)
-    back = read_records(spark, archive, locate(index, pages.select(surt(F.col("url")))))
+    back = describe_records(spark, archive, locate(index, pages.select(surt(F.col("url")))))
     kind = pages.schema["page_id"].dataType
     return back.select(
         F.expr("nullif(page, '')").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")
