@@ -86,27 +86,38 @@ class GatedLM:
             h = h + (a[:, :size] * 0.5 + 0.5) * (a[:, size:] - h)
         return states, active, h
 
-    def _class_scores(self, states: np.ndarray) -> np.ndarray:
-        logits = states @ self.class_w
-        logits += self.class_b
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits
+    def _small(self, weights: np.ndarray, bias: np.ndarray) -> bool:
+        """Whether no score of these weights can overflow an exponential: states are between -1 and 1."""
+        return float((np.abs(weights).sum(axis=0) + np.abs(bias)).max(initial=0.0)) < 80.0
+
+    @staticmethod
+    def _exponentials(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, small: bool) -> np.ndarray:
+        scores = states @ weights
+        scores += bias
+        if not small:
+            scores -= scores.max(axis=1, keepdims=True)
+        return np.exp(scores, out=scores)
+
+    def _by_class(self, symbols: np.ndarray, class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order of the symbols by class, their classes in it, and where each class starts."""
+        classes = class_of[symbols]
+        order = np.argsort(classes, kind="stable")
+        classes = classes[order]
+        return order, classes, np.searchsorted(classes, np.arange(len(self.bounds), dtype=classes.dtype))
 
     def log_probs(self, states: np.ndarray, symbols: np.ndarray, class_of: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each symbol after the state of the same row."""
-        logits = self._class_scores(states)
-        classes = class_of[symbols]
-        out = logits[np.arange(len(symbols)), classes] - np.log(np.exp(logits).sum(axis=1))
-        order = np.argsort(classes, kind="stable")
-        stops = np.searchsorted(classes[order], np.arange(len(self.bounds)))
-        for k in np.flatnonzero(np.diff(self.bounds) > 1):
-            rows = order[stops[k] : stops[k + 1]]
-            if len(rows):
-                a, b = self.bounds[k], self.bounds[k + 1]
-                words = states[rows] @ self.word_w[:, a:b]
-                words += self.word_b[a:b]
-                words -= words.max(axis=1, keepdims=True)
-                out[rows] += words[np.arange(len(rows)), symbols[rows] - a] - np.log(np.exp(words).sum(axis=1))
+        order, classes, stops = self._by_class(symbols, class_of)
+        states, symbols = states[order], symbols[order]
+        e = self._exponentials(states, self.class_w, self.class_b, self._small(self.class_w, self.class_b))
+        p = e[np.arange(len(symbols)), classes] / e.sum(axis=1)
+        small = self._small(self.word_w, self.word_b)
+        for k in np.flatnonzero((np.diff(self.bounds) > 1) & (np.diff(stops) > 0)):
+            rows, a, b = slice(stops[k], stops[k + 1]), self.bounds[k], self.bounds[k + 1]
+            e = self._exponentials(states[rows], self.word_w[:, a:b], self.word_b[a:b], small)
+            p[rows] *= e[np.arange(len(e)), symbols[rows] - a] / e.sum(axis=1)
+        out = np.empty(len(p))
+        out[order] = np.log(np.maximum(p, np.finfo(np.float32).tiny))
         return out
 
     def _learn(self, symbols: np.ndarray, fresh: np.ndarray, valid: np.ndarray, h: np.ndarray, class_of: np.ndarray, rate: float) -> np.ndarray:
@@ -117,54 +128,51 @@ class GatedLM:
         flat, target = states.reshape(-1, size), symbols.ravel()
         weight = np.float32(1.0 / max(1, int(valid.sum())) * lanes)
         keep = np.flatnonzero(valid.ravel())
-        seen, target_seen = flat[keep], target[keep]
+        order, classes, stops = self._by_class(target[keep], class_of)
+        keep = keep[order]
+        seen, wanted = flat[keep], target[keep]
         # Classes
-        logits = self._class_scores(seen)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        classes = class_of[target_seen]
-        logits[np.arange(len(classes)), classes] -= 1
-        logits *= weight
-        grads = {"class_w": seen.T @ logits, "class_b": logits.sum(axis=0)}
-        back = logits @ self.class_w.T
+        off = self._exponentials(seen, self.class_w, self.class_b, self._small(self.class_w, self.class_b))
+        off *= weight / off.sum(axis=1, keepdims=True)
+        off[np.arange(len(classes)), classes] -= weight
+        grads = {"class_w": seen.T @ off, "class_b": off.sum(axis=0)}
+        back = off @ self.class_w.T
         # Symbols of each class
         grads["word_w"], grads["word_b"] = np.zeros_like(self.word_w), np.zeros_like(self.word_b)
-        order = np.argsort(classes, kind="stable")
-        stops = np.searchsorted(classes[order], np.arange(len(self.bounds)))
-        for k in np.flatnonzero(np.diff(self.bounds) > 1):
-            rows = order[stops[k] : stops[k + 1]]
-            if len(rows):
-                a, b = self.bounds[k], self.bounds[k + 1]
-                own = seen[rows]
-                words = own @ self.word_w[:, a:b]
-                words += self.word_b[a:b]
-                words -= words.max(axis=1, keepdims=True)
-                np.exp(words, out=words)
-                words /= words.sum(axis=1, keepdims=True)
-                words[np.arange(len(rows)), target_seen[rows] - a] -= 1
-                words *= weight
-                grads["word_w"][:, a:b] = own.T @ words
-                grads["word_b"][a:b] = words.sum(axis=0)
-                back[rows] += words @ self.word_w[:, a:b].T
+        small = self._small(self.word_w, self.word_b)
+        for k in np.flatnonzero((np.diff(self.bounds) > 1) & (np.diff(stops) > 0)):
+            rows, a, b = slice(stops[k], stops[k + 1]), self.bounds[k], self.bounds[k + 1]
+            own = seen[rows]
+            off = self._exponentials(own, self.word_w[:, a:b], self.word_b[a:b], small)
+            off *= weight / off.sum(axis=1, keepdims=True)
+            off[np.arange(len(off)), wanted[rows] - a] -= weight
+            grads["word_w"][:, a:b] = own.T @ off
+            grads["word_b"][a:b] = off.sum(axis=0)
+            back[rows] += off @ self.word_w[:, a:b].T
         d_states = np.zeros_like(flat)
         d_states[keep] = back
         d_states = d_states.reshape(states.shape)
         # Through time, from the last step to the window's start
-        d_active = np.empty_like(active)
+        gate = active[:, :, :size] * 0.5 + 0.5
+        slopes = 1 - active**2
+        slopes[:, :, :size] *= 0.5 * (active[:, :, size:] - states)
+        slopes[:, :, size:] *= gate
+        stays = 1 - gate
+        d_active = slopes  # each step's part is filled in place
         d = np.zeros((lanes, size), np.float32)
         turned = self.state.T.copy()
         for t in range(steps - 1, -1, -1):
-            a, before = active[t], states[t]
-            gate = a[:, :size] * 0.5 + 0.5
             x = d_active[t]
-            np.multiply(d * (a[:, size:] - before), 0.5 * (1 - a[:, :size] ** 2), out=x[:, :size])
-            np.multiply(d * gate, 1 - a[:, size:] ** 2, out=x[:, size:])
-            d = d * (1 - gate) + x @ turned + d_states[t]
+            x[:, :size] *= d
+            x[:, size:] *= d
+            d = d * stays[t]
+            d += x @ turned
+            d += d_states[t]
             if fresh[t].any():
                 d = d * ~fresh[t][:, None]
         d_flat = d_active.reshape(-1, 2 * size)
         grads["state"] = flat.T @ d_flat
-        order = np.argsort(target, kind="stable")
+        order = np.argsort(target.astype(np.uint16) if len(self.table) < 1 << 16 else target, kind="stable")
         met, starts = np.unique(target[order], return_index=True)
         rows = np.add.reduceat(d_flat[order], starts, axis=0)
         np.clip(rows, -_CLIP, _CLIP, out=rows)
@@ -179,7 +187,8 @@ class GatedLM:
     # -- whole texts
 
     def class_of(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+        kind = np.uint16 if len(self.bounds) < 1 << 16 else np.int64
+        return np.repeat(np.arange(len(self.bounds) - 1, dtype=kind), np.diff(self.bounds))
 
     def train(self, texts: list[np.ndarray], lanes: int = LANES, rate: float = RATE) -> int:
         """One pass over texts; returns the number of symbols. Texts follow one another in each lane."""

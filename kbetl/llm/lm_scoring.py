@@ -18,6 +18,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from zlib import crc32
 
 import numpy as np
@@ -92,6 +93,13 @@ class Vocabulary:
         tails = self.modelled + np.array([_tail(w) for w in self.words], np.int32)
         return np.where(np.arange(len(self.words)) < self.modelled, np.arange(len(self.words), dtype=np.int32), tails)
 
+    @cached_property
+    def index(self) -> tuple[_Index, np.ndarray]:
+        """Places of words, and the symbol of each place; made once in a worker."""
+        places = _Index(zip(self.words, range(len(self.words)), strict=True))
+        places.size = len(self.words)
+        return places, np.concatenate([self.symbols(), self.modelled + np.arange(TAIL_SYMBOLS)]).astype(np.int32)
+
     def bounds(self) -> np.ndarray:
         """Classes of about equal sums of root counts; the tail symbols are the last one."""
         mass = np.cumsum(np.sqrt(self.counts[: self.modelled] + 1.0))
@@ -103,7 +111,17 @@ class Vocabulary:
 def collect_vocabulary(counts: DataFrame) -> Vocabulary:
     """The bounded part of the written table ``token, n`` that tasks need."""
     sums = counts.groupBy(_tail_column(F.col("token")).alias("tail")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
-    top = counts.where(F.col("token") != END).orderBy(F.desc("n"), "token").limit(DICTIONARY - 1).collect()
+    # Counts in steps of an eighth of a power of two, a few hundred at most: the dictionary is made of the highest
+    # steps that fit it together, so no task sends more than its part of them.
+    step = F.floor(F.log2("n") * 8).cast("int")
+    words_only = counts.where(F.col("token") != END)
+    sizes = {r.step: r.kinds for r in words_only.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("kinds")).collect()}
+    lowest, room = max(sizes, default=0) + 1, DICTIONARY - 1
+    for k in sorted(sizes, reverse=True):
+        if (room := room - sizes[k]) < 0:
+            break
+        lowest = k
+    top = sorted(words_only.where(step >= lowest).collect(), key=lambda r: (-r.n, r.token))
     ends = counts.where(F.col("token") == END).first()
     rows = ([ends] if ends else []) + top
     words, n = [r.token.encode() for r in rows], np.array([r.n for r in rows], np.int64)
@@ -124,13 +142,6 @@ class _Index(dict):
         return self.size + _tail(word)
 
 
-def _index(vocabulary: Vocabulary) -> tuple[_Index, np.ndarray]:
-    index = _Index(zip(vocabulary.words, range(len(vocabulary.words)), strict=True))
-    index.size = len(vocabulary.words)
-    symbols = np.concatenate([vocabulary.symbols(), vocabulary.modelled + np.arange(TAIL_SYMBOLS)]).astype(np.int32)
-    return index, symbols
-
-
 def _places(text: bytes | None, index: _Index) -> tuple[np.ndarray, list[bytes]]:
     words = (text or b"").lower().split()
     words.append(END.encode())
@@ -141,7 +152,7 @@ def _train(shared, vocabulary_shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: GatedLM = shared.value
         model = model.with_vector(model.vector())  # the broadcast object stays as it is
-        index, symbols = _index(vocabulary_shared.value)
+        index, symbols = vocabulary_shared.value.index
         waiting: list[np.ndarray] = []
         size = learned = 0
         for batch in batches:
@@ -191,7 +202,7 @@ def train_model(texts: DataFrame, vocabulary: Vocabulary, vocabulary_shared) ->
 def _score(shared, vocabulary_shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, vocabulary = shared.value, vocabulary_shared.value
-        index, symbols = _index(vocabulary)
+        index, symbols = vocabulary.index
         size_of_index, everything = len(vocabulary.words), vocabulary.tokens + vocabulary.kinds + 1
         base = np.log10((vocabulary.counts + 1) / everything)
         # What a dictionary word that isn't a symbol of its own has inside its tail symbol.
