@@ -4,7 +4,7 @@ Each step mixes the state with a candidate by a gate; both see the symbol throug
 of one-hot input and weights) and the state through one small matrix. A symbol is predicted from the state
 before it: first its class, then the symbol among those of its class. Training runs over many texts side by
 side, in windows of ``WINDOW`` steps: gradients stop at a window's start, the state goes on, and is zero at the
-start of a text. Scoring carries the state through a whole text.
+start of a text, in training also after every ``PIECE`` symbols of one. Scoring carries the state through a whole text.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ import numpy as np
 STATE = 16
 WINDOW = 16
 LANES = 512
+PIECE = 2048  # symbols learned in a row, so that long texts fill many lanes
+SCORED = 16384  # symbols scored at once
 RATE = 0.08
 _CLIP = 1.0
 _NAMES = ("table", "state", "class_w", "class_b", "word_w", "word_b")
@@ -193,7 +195,8 @@ class GatedLM:
     def train(self, texts: list[np.ndarray], lanes: int = LANES, rate: float = RATE) -> int:
         """One pass over texts; returns the number of symbols. Texts follow one another in each lane."""
         class_of = self.class_of()
-        symbols, fresh, valid = _side_by_side(texts, lanes)[:3]
+        pieces = [text[at : at + PIECE] for text in texts for at in range(0, len(text), PIECE)]
+        symbols, fresh, valid = _side_by_side(pieces, lanes)[:3]
         h = np.zeros((symbols.shape[1], self.state.shape[0]), np.float32)
         for at in range(0, len(symbols), WINDOW):
             live = int(valid[at].sum())  # lanes are in order of length
@@ -206,10 +209,10 @@ class GatedLM:
         class_of = self.class_of()
         symbols, fresh, valid, owner = _side_by_side(texts, lanes)
         h = np.zeros((symbols.shape[1], self.state.shape[0]), np.float32)
-        total = np.zeros(len(texts))
-        for at in range(0, len(symbols), 2 * WINDOW):
-            part = slice(at, at + 2 * WINDOW)
+        total, at = np.zeros(len(texts)), 0
+        while at < len(symbols):
             live = int(valid[at].sum())
+            part = slice(at, at := at + max(WINDOW, SCORED // live))  # fewer lanes, longer windows
             states, _, h = self._states(symbols[part, :live], fresh[part, :live], h[:live])
             keep = np.flatnonzero(valid[part, :live].ravel())
             values = self.log_probs(states.reshape(-1, states.shape[2])[keep], symbols[part, :live].ravel()[keep], class_of)
