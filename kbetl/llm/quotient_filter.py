@@ -67,7 +67,7 @@ class CountingQuotientFilter:
         values = self.fingerprints()
         shards = values >> np.uint64(64 - shard_bits) if shard_bits else np.zeros(len(values), np.uint64)
         present, starts = np.unique(shards, return_index=True)
-        ends = [*starts[1:], len(values)]
+        ends = [*starts[1:], len(values)][: len(starts)]
         return {
             int(s): self._from_sorted(values[a:b], self.counts[a:b], self.quotient_bits)
             for s, a, b in zip(present, starts, ends, strict=True)
