@@ -2,9 +2,8 @@
 
 1. Every task counts the 4-grams of its labelled texts by language; the counts are summed by one shuffle of
    distinct grams. All lower orders follow from the distinct 4-grams (continuation counts).
-2. The models are sorted arrays of hashed grams with discounted probabilities and back-off weights. Their
-   total size is bounded by ``max_grams``: above it, each language keeps the grams whose count reaches the
-   smallest power of two that fits its share. That bound is what makes the broadcast safe.
+2. The models are sorted arrays of hashed grams with discounted probabilities and back-off weights. They hold
+   every counted gram, whatever their number: the broadcast grows with the distinct 4-grams of all languages.
 3. Every text is scored whole under every model. The language of the lowest cross-entropy a character wins;
    its share of the likelihood is the score.
 4. Rejection is calibrated on the labelled texts: for each language and length class, a threshold that all
@@ -29,7 +28,6 @@ from .common import crc32_bucket, pick, table, written
 
 ORDER = 4
 UNIT = 16
-MAX_GRAMS = 1 << 20
 PIECE_CHARS = 1 << 20  # longer texts are scored in pieces of this many characters, and the pieces added up
 ALPHA = 0.0005
 MARGIN = 1.0  # nats a character above the calibrated threshold before a text is rejected
@@ -262,32 +260,10 @@ def _predict(langs: list[str], shared):
     return run
 
 
-def _bounded(counts: DataFrame, max_grams: int) -> pa.Table:
-    """The grams the models are made of, at most ``max_grams`` over all languages."""
-    level = F.floor(F.log2("n")).cast("int")
-    sizes: dict[str, dict[int, int]] = {}
-    for r in counts.groupBy("lang", level.alias("level")).agg(F.count(F.lit(1)).alias("grams")).collect():
-        sizes.setdefault(r.lang, {})[r.level] = r.grams
-    share = max_grams // max(1, len(sizes))
-    least: dict[str, int] = {}
-    for lang, by in sizes.items():
-        total, least[lang] = 0, 0
-        for k in sorted(by, reverse=True):
-            total += by[k]
-            if total > share:
-                least[lang] = k + 1
-                break
-    cut = {lang: k for lang, k in least.items() if k}
-    if cut:
-        floor = F.create_map(*(x for lang, k in cut.items() for x in (F.lit(lang), F.lit(float(1 << k)))))
-        counts = counts.where(F.col("n") >= F.coalesce(F.try_element_at(floor, F.col("lang")), F.lit(0.0)))
-    return counts.toArrow()
-
-
-def fit_models(labelled: DataFrame, max_grams: int = MAX_GRAMS) -> dict[str, KneserNey]:
+def fit_models(labelled: DataFrame) -> dict[str, KneserNey]:
     """A model for each ``lang`` of the rows with text and label, in ascending order of the name."""
     counts = written(gram_counts(labelled.where("lang is not null and text is not null")), "lang-grams")
-    grams = _bounded(counts, max_grams).combine_chunks()
+    grams = counts.toArrow().combine_chunks()
     langs = grams.column("lang").to_numpy(zero_copy_only=False) if grams.num_rows else np.empty(0, object)
     keys = grams.column("gram").to_numpy().view(np.uint64)
     n = grams.column("n").to_numpy()
@@ -321,7 +297,6 @@ def identify(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    max_grams: int = MAX_GRAMS,
     alpha: float = ALPHA,
     margin: float = MARGIN,
 ) -> DataFrame:
@@ -335,7 +310,7 @@ def identify(
     * Texts of any length are scored whole. An empty table gives no rows. Further columns are ignored.
     """
     rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
-    models = fit_models(rows.where(learn), max_grams)
+    models = fit_models(rows.where(learn))
     langs = sorted(models)
     shared = docs.sparkSession.sparkContext.broadcast([models[x] for x in langs])
     key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")

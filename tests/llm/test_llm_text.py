@@ -53,6 +53,21 @@ def test_language_id_without_anything_to_learn(spark):
     assert li.identify(docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_models_hold_every_counted_gram(spark):
+    """100 labels: an equal share of a fixed total would be less than this label's grams, most of them met once."""
+    import numpy as np
+
+    r = random.Random(7)
+    text = "".join(chr(r.randint(0x4E00, 0x4E00 + 5000)) for _ in range(30_000))
+    rows = [("zh", text)] + [(f"l{i}", "the of and") for i in range(99)]
+    models = li.fit_models(spark.createDataFrame(rows, "lang string, text string"))
+    grams, starts, ends = li._windows([text])
+    keys, counts = np.unique(grams[starts[0] : ends[0]], return_counts=True)
+    whole = li.KneserNey.fit(keys, counts)
+    assert len(models) == 100 and len(keys) > 20_000 and len(models["zh"].grams[3][0]) == len(keys)
+    assert np.array_equal(models["zh"].log_prob(keys), whole.log_prob(keys))
+
+
 def test_kneser_ney_sums_to_one():
     grams, _, _ = li._windows(["ab ba aab", "bab"])
     import numpy as np
