@@ -33,6 +33,19 @@ _TITLES = {
 }
 _TITLE = r"(?<!\p{L})(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + r")\.? "
 _ASSIGNED = r"(?i:password|passwd|token|secret|api[_\-]?key)\s{0,3}[=:]\s{0,3}\"?"
+# Lengths of IBANs by country: a match ends where its IBAN ends.
+_IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_BODIES = "|".join(
+    rf"(?:{names.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, names in _IBAN_COUNTRIES.items()
+)
+_WORD_END = r"(?![\p{L}\p{N}])"
 
 # In this order: where two kinds match at one place, the first wins.
 PATTERNS = {
@@ -44,7 +57,8 @@ PATTERNS = {
     r"|(?<![\d+])\+\d{1,3}(?:[ .\-]?\(?\d{2,4}\)?){2,4}(?!\d)"
     r"|(?<![\d.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])(?!\.\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "iban": rf"(?<![\p{{L}}\p{{N}}])(?=[A-Z]{{2}}\d{{2}})(?:(?:{_IBAN_BODIES}){_WORD_END}"
+    rf"|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_WORD_END})",
     "card": r"(?<![\d.\-])(?:\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])(?!\.\d)",
     "name": rf"{_TITLE}\p{{Lu}}\p{{L}}{{1,40}}+(?: \p{{Lu}}\p{{L}}{{1,40}}+)?",
 }

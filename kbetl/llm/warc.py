@@ -40,12 +40,13 @@ _GAP = "\r\n\r\n"
 
 def surt(url: Column) -> Column:
     """The sort-friendly form of an address: reversed host, port, path and query; no scheme, user or fragment."""
-    bare = F.regexp_replace(F.regexp_replace(F.coalesce(url, F.lit("")), r"(?s)#.*", ""), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/@?]*@)?", "")
+    # Encoded before it is split, as the archive holds it: both sides of a lookup then make the same key.
+    bare = F.regexp_replace(F.regexp_replace(_one_line(F.coalesce(url, F.lit(""))), r"(?s)#.*", ""), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/@?]*@)?", "")
     authority = F.lower(F.regexp_extract(bare, r"^[^/?]*", 0))
     host, port = F.regexp_extract(authority, r"^(.*?)(?::(\d*))?$", 1), F.regexp_extract(authority, r"^(.*?)(?::(\d*))?$", 2)
     turned = F.array_join(F.reverse(F.split(F.regexp_replace(host, r"^www\.", ""), r"\.")), ",")
     rest = F.substring(bare, F.length(authority) + 1, F.length(bare))
-    return F.concat(turned, F.when(port.isin("", "80", "443"), "").otherwise(F.concat(F.lit(":"), port)), F.lit(")"), _one_line(rest))
+    return F.concat(turned, F.when(port.isin("", "80", "443"), "").otherwise(F.concat(F.lit(":"), port)), F.lit(")"), rest)
 
 
 def _one_line(value: Column) -> Column:
@@ -319,7 +320,10 @@ def archive_pages(
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     archive, index = archive_pages(pages)
-    back = describe_records(spark, archive, locate(index, pages.select(surt(F.col("url")))))
+    located = locate(index, pages.select(surt(F.col("url"))))
+    if (n := located.count()) != (wanted := pages.count()):
+        raise ValueError(f"{n} records located of {wanted} pages")
+    back = describe_records(spark, archive, located)
     kind = pages.schema["page_id"].dataType
     return back.select(
         F.expr("nullif(page, '')").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")

@@ -196,3 +196,16 @@ def test_surrogates_are_distinct_and_no_entity_of_the_corpus(spark):
     assert len(got) == 50 == len(set(new)) and not set(new) & {r.canonical for r in got}
     again = su.draw_surrogates(entities.withColumn("canonical", F.concat(F.lit("zz"), "canonical"))).collect()
     assert {(r.canonical, r.surrogate) for r in got} == {(r.canonical, r.surrogate) for r in again}
+
+
+def test_iban_ends_where_its_country_says(spark):
+    texts = [
+        "ES9121000418450200051332 I said", "ES91 2100 0418 4502 0005 1332 A note", "ES9121000418450200051332 2024 was", "AT611904300234573201 UND",
+        "LT12 1000 0111 0100 1000 2024 was", "DE89370400440532013000 OK", "DE89 3704 0044 0532 0130 00 OK", "NO9386011117947 I", "MT84MALT011000012345MTLCAST001S A",
+    ]
+    got = su.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in got:
+        was = texts[r.doc_id]
+        assert r.kinds == ["iban"] and r.text != was and len(r.text) == len(was)
+        assert r.text[:2] == was[:2] and r.text.rsplit(" ", 1)[1] == was.rsplit(" ", 1)[1]
+        assert all(word in r.text for word in ("I said", "A note", "2024 was", "UND", "OK") if word in was)

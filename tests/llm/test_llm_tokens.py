@@ -169,3 +169,9 @@ def test_pipeline(spark, tmp_path):
     tokenizer = Tokenizer.from_file(packing.word_tokenizer_path())
     want = {(i, len(tokenizer.encode(x.text, add_special_tokens=False).ids) + 1) for i, x in seen["surrogates"].items()}
     assert {(x.doc_id, x.length) for x in packed} == want
+
+
+def test_warc_finds_addresses_with_blanks_in_the_host(spark, tmp_path):
+    urls = [" http://a.com/x", "http://a.com ", "http://a.com\n", "\thttp://a.com", "http://a b.com/y z", "\r\nhttp://a.com:80/#f g", " ", None, "http://a.com/x"]
+    spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted(r.page_id for r in warc.op7_warc(spark, str(tmp_path)).collect()) == list(range(len(urls)))
