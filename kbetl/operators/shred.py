@@ -63,7 +63,7 @@ def _without_references(raw: Column) -> Column:
     return ~raw.contains("&#")
 
 
-def _tax_ref(raw: Column, organism: Column) -> Column:
+def _tax_ref(raw: Column, organism: Column, sound: Column) -> Column:
     """Id of the first taxonomy reference anywhere below the first organism.
 
     Nearly always it is a direct child, which the struct parse has already. Only if the type name
@@ -75,13 +75,16 @@ def _tax_ref(raw: Column, organism: Column) -> Column:
     value = (
         F.when(~raw.contains(TAXONOMY) & _without_references(raw), F.lit(None).cast("string"))
         .when((mentions == 1) & direct.isNotNull(), direct["_id"])
-        .otherwise(F.xpath_string(raw, F.lit(path)))
+        .when(sound, F.xpath_string(raw, F.lit(path)))
     )
     return empty_to_null(value)
 
 
-def _go_ids(raw: Column, references: Column) -> Column:
-    """Ids of GO references at any depth; the tree is only built if some are not direct children."""
+def _go_ids(raw: Column, references: Column, sound: Column) -> Column:
+    """Ids of GO references at any depth; the tree is only built if some are not direct children.
+
+    ``sound`` keeps the tree from being built of an entry that is known to be malformed: that would end the job.
+    """
     direct = F.filter(references, lambda r: r["_type"] == GO)
     quoted = (f'"{GO}"', f"'{GO}'")
     none = ~(raw.contains(quoted[0]) | raw.contains(quoted[1]))
@@ -89,7 +92,7 @@ def _go_ids(raw: Column, references: Column) -> Column:
     all_direct = none | (mentions == F.size(direct))
     ids = F.when(
         _without_references(raw) & all_direct, F.transform(direct, lambda r: r["_id"])
-    ).otherwise(F.xpath(raw, F.lit(f'//dbReference[@type="{GO}"]/@id')))
+    ).when(sound, F.xpath(raw, F.lit(f'//dbReference[@type="{GO}"]/@id')))
     return F.filter(ids, lambda i: i != "")
 
 
@@ -156,7 +159,9 @@ def parse_entry(
     if "tail" in entries.columns:
         out["tail"] = F.col("tail")
     if permissive:
+        out.update({c: F.col(c) for c in ("starts", "suspect") if c in entries.columns})
         out["malformed"] = (raw.isNotNull() & e["_corrupt_record"].isNotNull()) | several
+    sound = e["_corrupt_record"].isNull() & ~several if permissive else F.lit(True)
     accession = empty_to_null(first_of(e["accession"]))
     out["primary_accession"] = accession
 
@@ -169,7 +174,7 @@ def parse_entry(
         out["created_date"] = empty_to_null(e["_created"])
         out["modified_date"] = empty_to_null(e["_modified"])
     if "proteins" in tables or "taxonomy" in tables:
-        out["ncbi_taxid"] = _tax_ref(raw, first_of(e["organism"]))
+        out["ncbi_taxid"] = _tax_ref(raw, first_of(e["organism"]), sound)
     if "taxonomy" in tables:
         organism = first_of(e["organism"])
         taxa = F.filter(flat(organism["lineage"], "taxon"), lambda t: t != "")
@@ -192,7 +197,7 @@ def parse_entry(
             ),
         )
     if "protein_to_go" in tables:
-        out["go_ids"] = _go_ids(raw, e["dbReference"])
+        out["go_ids"] = _go_ids(raw, e["dbReference"], sound)
     if "proteins" in tables:
         declared = F.col("namespaces") if "namespaces" in entries.columns else None
         out.update(_blob_columns(raw, e["comment"], accession, profile, declared, not permissive))

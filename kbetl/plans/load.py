@@ -7,6 +7,7 @@ import traceback
 import uuid
 from collections.abc import Mapping
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,7 +16,7 @@ from ..operators.quality import check_entries, check_on_duplicate
 from ..operators.shred import distinct_in_entry, parse_entry, shred
 from ..session import materialize
 from ..sources import snapshots
-from ..sources.entries import Paths, dataset_union
+from ..sources.entries import Paths, cut_fragments, dataset_union, lexed_fragments, readable_paths, suspect_files
 
 log = logging.getLogger(__name__)
 
@@ -45,11 +46,25 @@ def stage_entries(
     """Scan, parse and check all datasets; returns the parsed entries as a written table.
 
     The documents are read and parsed once. The seven tables and all gates then read single
-    columns of the result, and a lost executor costs no second parse.
+    columns of the result, and a lost executor costs no second parse. Files that were cut where they
+    may not be (see ``sources.entries``) are read again by the lexer and replace their first parse.
     """
     check_on_duplicate(on_duplicate)
-    fragments = dataset_union(spark, sources)
-    parsed = materialize(parse_entry(fragments, profile, mode="PERMISSIVE"), path)
+    fragments = dataset_union(spark, sources, cut_fragments)
+    parsed = materialize(parse_entry(fragments, profile, mode="PERMISSIVE"), f"{path}/cut")
+    odd = materialize(suspect_files(parsed), f"{path}/suspect-files")
+    files: dict[str, list[str]] = {}
+    for row in odd.toLocalIterator():
+        files.setdefault(row.dataset, []).append(row.file)
+    if files:
+        lexed = []
+        for i, (name, paths) in enumerate(sources.items()):
+            if name in files:
+                listed = readable_paths(spark, paths)
+                lexed.append(lexed_fragments(spark, [listed[f] for f in sorted(files[name])], name, i))
+        again = parse_entry(reduce(DataFrame.unionByName, lexed), profile, mode="PERMISSIVE")
+        right = parsed.join(odd, ["dataset", "file"], "left_anti").select(parsed.columns)
+        parsed = right.unionByName(materialize(again, f"{path}/lexed"))
     check_entries(parsed, on_duplicate)
     return parsed
 

@@ -148,6 +148,7 @@ def _part_counts(parts: str, taxa: str) -> str:
 ORACLES: dict[str, str] = {
     "scan_entries_count": _COUNTS,
     "scan_then_shred_genes": _GENES,
+    "scan_commented_entries": "select 'D' || doc_id as primary_accession, text || ' </entry>' as comment_text from documents",
     "dataset_union_counts": _COUNTS,
     "shred_proteins": _PROTEINS,
     "shred_sequences": """

@@ -81,6 +81,20 @@ def scan_then_shred_genes(spark: SparkSession, sf: str) -> DataFrame:
     return sh.shred_genes(sh.parse_entry(raw, tables=["genes"]))
 
 
+@query
+def scan_commented_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts as written documents whose comments hold an entry's close tag in a section; every third entry stands in a
+    comment twice more."""
+    docs = document_entries(spread_table(spark, sf, "documents", "doc_id"))
+    raw = F.replace("raw_xml", F.lit("</text></comment>"), F.lit("<![CDATA[ </entry>]]></text></comment>"))
+    repeated = F.concat(raw, F.lit("\n<!-- "), raw, raw, F.lit(" -->"))
+    path = scratch_dir(spark, "commented")
+    write_documents(docs.withColumn("raw_xml", F.when(F.col("key") % 3 == 0, repeated).otherwise(raw)), path, 1_000)
+    proteins = sh.shred_proteins(sh.parse_entry(scan.dataset_union(spark, {"documents": path}), "full", ["proteins"]))
+    text = lookup.json_field(F.col("comments_data"), "$[0].children[0].text")
+    return proteins.select("primary_accession", text.alias("comment_text"))
+
+
 @query
 def dataset_union_counts(spark: SparkSession, sf: str) -> DataFrame:
     return scan.entry_count(fragments(spark, sf))

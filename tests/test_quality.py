@@ -56,7 +56,7 @@ def test_tables_of_good_entries_pass(spark):
         ([entry("A", name="n" * 256)], "entry_name longer than 255"),
         ([entry("A", keywords=[("k", "l" * 256)])], "keyword_label longer than 255"),
         ([entry("A"), "<entry><accession>B</x></entry>"], "malformed entry"),
-        ([entry("A"), entry("B")[:-8] + "</entry >" + entry("C")], "malformed entry"),
+        ([entry("A"), entry("B")[:-8] + entry("C")], "malformed entry"),
     ],
 )
 def test_entry_gates(spark, write, entries, message):
