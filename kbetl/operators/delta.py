@@ -13,14 +13,15 @@ scan to the writer; the few values taken from the live side join as a small tabl
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..session import materialize
+from ..sources.snapshots import CHANGE
 
 
 @dataclass(frozen=True)
@@ -119,24 +120,28 @@ def insert_ignore(target: DataFrame, source: DataFrame, key: Sequence[str]) -> D
 
 
 def keep_old_values(
-    source: DataFrame, target: DataFrame, key: Sequence[str], kept: Sequence[str], work: str | None = None
+    source: DataFrame,
+    target: DataFrame,
+    key: Sequence[str],
+    kept: Sequence[str],
+    work: str | None = None,
+    met: Observation | None = None,
 ) -> DataFrame:
     """``source`` rows with the ``kept`` columns of the target row of the same key, if there is one.
 
     Only rows where old and new value differ are looked up again, so the wide source rows meet a
-    table of real changes. With ``work`` that table is written first and Spark knows its size.
+    table of real changes. With ``work`` that table is written first and Spark knows its size; ``met`` then observes
+    how many source rows have a target row (``n_rows``).
     """
     if not kept:
         return source
     key = list(key)
     old = target.select(*key, *(F.col(c).alias(f"old_{c}") for c in kept))
     same = _all([F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in kept])
-    changes = (
-        source.select(*key, *kept)
-        .join(old, key)
-        .where(~same)
-        .select(*key, *(f"old_{c}" for c in kept), F.lit(True).alias("was_live"))
-    )
+    both = source.select(*key, *kept).join(old, key)
+    if met is not None:
+        both = both.observe(met, F.count(F.lit(1)).alias("n_rows"))
+    changes = both.where(~same).select(*key, *(f"old_{c}" for c in kept), F.lit(True).alias("was_live"))
     if work is not None:
         changes = materialize(changes, work)
     return source.join(changes, key, "left").select(
@@ -221,6 +226,8 @@ def apply_delta(
     refresh_payload: bool = False,
     scope: Column | None = None,
     work_dir: str | None = None,
+    met: dict[str, Callable[[], int]] | None = None,
+    only: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """The tables after the delta. Both sides must have the same tables of the plan.
 
@@ -228,8 +235,14 @@ def apply_delta(
     that stay are not refreshed, and live parents that are not in the release are removed
     whatever data set they came from; ``scope`` (a condition on live parents) limits that removal.
     ``work_dir`` (a shared folder) is where small key sets are written so that Spark knows their
-    sizes and does not compute them once per table.
+    sizes and does not compute them once per table. ``only`` names the tables that are wanted.
+
+    With ``met`` (which needs ``work_dir``) the merge tells what it does to the rows: they get a column ``_change``
+    (inserted, updated, kept) that is counted when they are written. The wide staged rows are all called inserted, as
+    they never meet the live ones; ``met`` gets for each wide table a function that returns how many were live before.
     """
+    if met is not None and work_dir is None:
+        raise ValueError("counting what was met needs a work_dir")
     planned = {plan.parent, *plan.dimensions, *plan.attachments, *plan.children}
     if one_sided := sorted(n for n in planned if (n in prod) != (n in stage)):
         raise ValueError(f"tables on one side of the delta only: {one_sided}")
@@ -273,8 +286,16 @@ def apply_delta(
         def merge_parent(name: str) -> DataFrame:
             kept = [c for c in plan.kept_on_update if c in staged_parent.columns]
             old = without(live_parent.select(key, *kept), moved, key)
-            merged = keep_old_values(survivors, old, [key], kept, work("kept_values"))
-            return merged if out_of_scope is None else merged.unionByName(out_of_scope.select(merged.columns))
+            if met is None:
+                merged = keep_old_values(survivors, old, [key], kept, work("kept_values"))
+                return merged if out_of_scope is None else merged.unionByName(out_of_scope.select(merged.columns))
+            observed = Observation()
+            merged = keep_old_values(survivors, old, [key], kept, work("kept_values"), observed)
+            met[name] = (lambda: observed.get["n_rows"]) if kept else survivors.select(key).join(old, key, "left_semi").count
+            merged = merged.withColumn(CHANGE, F.lit("inserted"))
+            if out_of_scope is not None:
+                merged = merged.unionByName(out_of_scope.withColumn(CHANGE, F.lit("kept")).select(merged.columns))
+            return merged
 
         def merge_attachment(name: str) -> DataFrame:
             staged = without(stage[name], unnamed, key)
@@ -282,22 +303,42 @@ def apply_delta(
             bare = without(survivors.select(key), stage[name], key)
             bare = small(without(bare, moved, key), f"without_{name}")
             old = prod[name].join(bare, key, "left_semi").select(staged.columns)
+            if met is not None:
+                # Keys only: the wide rows of the two sides never meet.
+                again = without(staged.select(key).join(prod[name].select(key), key, "left_semi"), moved, key)
+                met[name] = again.count
+                staged, old, live = (df.withColumn(CHANGE, F.lit(c)) for df, c in ((staged, "inserted"), (old, "kept"), (prod[name], "kept")))
+                return with_out_of_scope(staged.unionByName(old), live, key)
             return with_out_of_scope(staged.unionByName(old), prod[name], key)
 
         def merge_children(name: str) -> DataFrame:
             columns = plan.children[name]
             staged = without(stage[name], unnamed, columns[0])
             payload = [] if refresh_payload else [c for c in staged.columns if c not in columns]
+            if met is not None:
+                old = without(prod[name], moved, columns[0]).select(*columns, *(F.col(c).alias(f"old_{c}") for c in payload), F.lit(True).alias("was_live"))
+                stays = "updated" if refresh_payload and len(staged.columns) > len(columns) else "kept"
+                merged = staged.join(old, list(columns), "left").select(
+                    *(F.when(F.col("was_live"), F.col(f"old_{c}")).otherwise(F.col(c)).alias(c) if c in payload else F.col(c) for c in staged.columns),
+                    F.when(F.col("was_live"), stays).otherwise("inserted").alias(CHANGE),
+                )
+                return with_out_of_scope(merged, prod[name].withColumn(CHANGE, F.lit("kept")), columns[0])
             old = without(prod[name], moved, columns[0]) if payload else prod[name]
             merged = keep_old_values(staged, old, columns, payload, work(f"kept_{name}"))
             return with_out_of_scope(merged, prod[name], columns[0])
 
         def merge_dimension(name: str) -> DataFrame:
-            return upsert(prod[name], stage[name], [plan.dimensions[name]])
+            own = plan.dimensions[name]
+            if met is not None:
+                live = prod[name].select(own, F.lit(True).alias("was_live"))
+                staged = stage[name].join(live, own, "left").withColumn(CHANGE, F.when(F.col("was_live"), "updated").otherwise("inserted")).drop("was_live")
+                untouched = prod[name].join(stage[name].select(own), own, "left_anti").withColumn(CHANGE, F.lit("kept"))
+                return staged.unionByName(untouched)
+            return upsert(prod[name], stage[name], [own])
 
         merges = {plan.parent: merge_parent}
         merges.update(dict.fromkeys(plan.dimensions, merge_dimension))
         merges.update(dict.fromkeys(plan.attachments, merge_attachment))
         merges.update(dict.fromkeys(plan.children, merge_children))
-        names = [n for n in merges if n in prod]
+        names = [n for n in merges if n in prod and (only is None or n in only)]
         return dict(zip(names, pool.map(lambda n: merges[n](n), names)))

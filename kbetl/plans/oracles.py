@@ -145,6 +145,47 @@ def _part_counts(parts: str, taxa: str) -> str:
     )
 
 
+# Rows of the two releases of the delta by key, compared as sets: what a merge does to each table.
+_LIVE_AND_NEXT = {
+    "proteins": ("select 'P' || p_partkey as k from part where p_size <= 40", "select 'P' || p_partkey as k from part where p_size >= 10", "updated"),
+    "taxonomy": ("select distinct p_size as k from part where p_size <= 40", "select distinct p_size as k from part where p_size >= 10", "updated"),
+    "accessions": (
+        "select 'S' || p_partkey as k from part where p_type in ('ECONOMY', 'SMALL') and p_size <= 40",
+        "select 'S' || p_partkey as k from part where p_type in ('ECONOMY', 'SMALL') and p_size >= 10",
+        "kept",
+    ),
+    "genes": (
+        "select p_partkey || ' ' || unnest([p_brand, p_type]) as k from part where p_size <= 40",
+        "select p_partkey || ' ' || unnest([reverse(p_brand), p_type]) as k from part where p_size >= 10",
+        "kept",
+    ),
+    "keywords": ("select p_partkey as k from part where p_size <= 40", "select p_partkey as k from part where p_size >= 10", "kept"),
+    "protein_to_go": tuple(
+        " union all ".join(
+            f"select p_partkey || '{prefix}' as k from part where p_type in {types} and p_size {condition}"
+            for prefix, types in ((" N", "('SMALL', 'LARGE')"), ("", "('ECONOMY', 'LARGE')"))
+        )
+        for condition in ("<= 40", ">= 10")
+    )
+    + ("kept",),
+}
+_LIVE_AND_NEXT["sequences"] = _LIVE_AND_NEXT["proteins"]
+
+
+def _row_counts(table: str, live: str, staged: str, again: str) -> str:
+    both = f"(select count(*) from (({live}) intersect ({staged})) x)"
+    gone = f"(select count(*) from (({live}) except ({staged})) x)"
+    new = f"(select count(*) from (({staged}) except ({live})) x)"
+    # Organisms are never removed.
+    kept, deleted = (gone, "0") if table == "taxonomy" else (both if again == "kept" else "0", gone)
+    updated = both if again == "updated" else "0"
+    return f"""
+      select '{table}' as table_name, cast({new} as bigint) as inserted, cast({updated} as bigint) as updated,
+             cast({kept} as bigint) as kept, cast({deleted} as bigint) as deleted"""
+
+
+_ROW_COUNTS = " union all ".join(_row_counts(table, *sides) for table, sides in _LIVE_AND_NEXT.items())
+
 ORACLES: dict[str, str] = {
     "scan_entries_count": _COUNTS,
     "scan_then_shred_genes": _GENES,
@@ -295,6 +336,30 @@ ORACLES: dict[str, str] = {
     "lookup_go": _named(f"select protein_accession from ({_GO}) g where go_term_id = 'GO:N12'"),
     "json_contains_comments": f"""
       select primary_accession, comment_type = 'function' as has_function from ({_COMMENTS}) c""",
+    "json_contains_nested": """
+      select 'P' || p_partkey as primary_accession, p_size <= 25 and p_type in ('SMALL', 'LARGE') as has_go_comment,
+             p_size = 17 as has_evidence, p_size = 12 as begins_at_12
+      from part
+      union all
+      select 'D' || doc_id, false, false, false from documents""",
+    "published_lookups": f"""
+      with found as (
+        select 'gene' as lookup, protein_accession as primary_accession from ({_GENES}) g where gene_name = 'Brand#7' and is_primary
+        union all
+        select 'keyword', protein_accession from ({_KEYWORDS}) k where keyword_label = 'fr'
+        union all
+        select 'go', protein_accession from ({_GO}) t where go_term_id = 'GO:N12'
+        union all
+        select 'accession', primary_accession from ({_ENTRY_NAMES}) n where primary_accession in ('P7', 'D11'))
+      select lookup, primary_accession, entry_name, n_residues
+      from found join ({_ENTRY_NAMES}) n using (primary_accession)
+      join (select 'P' || p_partkey as primary_accession, cast(length(p_name || p_brand) as integer) as n_residues from part
+            union all
+            select 'D' || doc_id, cast(nullif(length(replace(text, chr(10), '')), 0) as integer) from documents) s using (primary_accession)""",
+    "published_json_lookup": """
+      select 'P' || p_partkey as primary_accession, 'ID_' || p_partkey as entry_name, pattern
+      from part join (values ('go_comment'), ('evidence'), ('begin')) p(pattern)
+        on case pattern when 'go_comment' then p_size <= 25 and p_type in ('SMALL', 'LARGE') when 'evidence' then p_size = 17 else p_size = 12 end""",
     "json_field_props": "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events",
     "tsv_roundtrip_customer": """
       select c_custkey, c_name, nullif(case when c_mktsegment = 'MACHINERY' then '' else c_mktsegment end, '')
@@ -337,5 +402,25 @@ ORACLES: dict[str, str] = {
              p_type || ' > ' || case when p_size >= 10 then reverse(p_brand) else p_brand end as lineage
       from (select *, row_number() over (partition by p_size order by p_partkey) as rn from part) t where rn = 1""",
     "load_delta_counts": _part_counts("p_size >= 10", "p_size > 0"),
+    "load_delta_row_counts": _ROW_COUNTS,
+    "load_bookkeeping": """
+      with n as (select count(*) as all_parts, count(*) filter (where p_size <= 40) as small from part)
+      select 'COMPLETED' as status, 'full' as mode, 'part' as dataset, all_parts as n_declared, all_parts as n_loaded,
+             2 * all_parts as genes_inserted from n
+      union all
+      select 'FAILED', 'delta', 'part', null, null, null from n
+      union all
+      select 'FAILED', 'delta', 'part', null, null, null from n""",
+    "snapshot_of_version": f"""
+      select *, '2025_01' as version from ({_part_counts("p_size <= 40", "p_size <= 40")}) a
+      union all
+      select *, '2025_02' from ({_part_counts("p_size >= 10", "p_size > 0")}) b""",
+    "releases_live_at": """
+      with published as (
+        select row_number() over (order by o_orderdate, o_orderkey) as seq, strftime(o_orderdate, '%Y_%m') as version,
+               o_orderdate as published_at, lead(o_orderdate) over (order by o_orderdate, o_orderkey) as replaced_at
+        from orders where o_orderkey % 1000 = 0)
+      select event_id, seq, version
+      from events left join published on ts >= published_at and (replaced_at is null or ts < replaced_at)""",
     "load_rollback_counts": _part_counts("p_size <= 40", "p_size <= 40"),
 }

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import BLOBS, valid_json
 from ..operators import compare, delta, lookup, quality, shred as sh
@@ -661,6 +662,61 @@ def json_contains_comments(spark: SparkSession, sf: str) -> DataFrame:
     return proteins.select("primary_accession", hit.alias("has_function"))
 
 
+# Patterns of the containment queries.
+_GO_COMMENT = [{"tag": "comment", "attributes": {"type": "function"}, "children": [{"tag": "text"}, {"tag": "dbReference", "attributes": {"type": "GO"}}]}]
+_EVIDENCE = [{"tag": "feature", "attributes": {"type": "chain"}, "children": [{"tag": "evidence", "attributes": {"type": "ECO:17"}, "children": [{"tag": "source"}]}]}]
+_BELOW = [{"tag": "feature", "descendants": [{"tag": "begin", "attributes": {"position": "12"}}]}]
+
+
+@query
+def json_contains_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Comments with a text and a GO reference as children, features with a certain evidence, a position at any depth."""
+    proteins = sh.shred_proteins(parsed(spark, sf, "proteins"))
+    return proteins.select(
+        "primary_accession",
+        lookup.json_contains_tree(F.col("comments_data"), _GO_COMMENT).alias("has_go_comment"),
+        lookup.json_contains_tree(F.col("features_data"), _EVIDENCE).alias("has_evidence"),
+        lookup.json_contains_tree(F.col("features_data"), _BELOW).alias("begins_at_12"),
+    )
+
+
+def _published(spark: SparkSession, sf: str, **options) -> dict[str, DataFrame]:
+    """Parts and texts loaded and published, opened with buckets."""
+    root = scratch_dir(spark, "root")
+    run_load(spark, documents_on_disk(spark, sf), root, _info("2025_01", 1), **options)
+    return snapshots.open_snapshot(spark, root, buckets=True)
+
+
+@query
+def published_lookups(spark: SparkSession, sf: str) -> DataFrame:
+    """Lookups by gene, keyword, GO term and accession on a published snapshot, with sequence lengths."""
+    t = _published(spark, sf)
+    proteins, n_buckets = t["proteins"], t[snapshots.LAYOUT].first().n_buckets
+    found = {
+        "gene": lookup.find_by_gene(proteins, t["genes"], "Brand#7", primary_only=True),
+        "keyword": lookup.find_by_keyword(proteins, t["keywords"], "fr"),
+        "go": lookup.find_by_go(proteins, t["protein_to_go"], "GO:N12"),
+        "accession": lookup.find_by_accession(proteins, ["P7", "D11", "none"], n_buckets),
+    }
+    parts = [
+        lookup.with_sequences(df, t["sequences"]).select(F.lit(name).alias("lookup"), "primary_accession", "entry_name", F.length("sequence").alias("n_residues"))
+        for name, df in found.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def published_json_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The same containment, answered by the index of a published snapshot."""
+    t = _published(spark, sf, profile="full", json_index=True)
+    found = {
+        "go_comment": lookup.find_by_json(t["proteins"], t[snapshots.JSON_INDEX], "comments_data", _GO_COMMENT),
+        "evidence": lookup.find_by_json(t["proteins"], t[snapshots.JSON_INDEX], "features_data", _EVIDENCE),
+        "begin": lookup.find_by_json(t["proteins"], t[snapshots.JSON_INDEX], "features_data", _BELOW),
+    }
+    return reduce(DataFrame.unionByName, [_id_and_name(df).withColumn("pattern", F.lit(name)) for name, df in found.items()])
+
+
 @query
 def json_field_props(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "events").select(
@@ -775,6 +831,64 @@ def load_delta_counts(spark: SparkSession, sf: str) -> DataFrame:
     return compare.table_counts(snapshots.open_snapshot(spark, _two_releases(spark, sf)))
 
 
+@query
+def load_delta_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the delta did to each table, as its log row says."""
+    history = snapshots.load_history(spark, _two_releases(spark, sf))
+    return snapshots.row_counts(history.where("mode = 'delta'")).drop("run_id", "mode")
+
+
+@query
+def load_bookkeeping(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of a root: empty tables, a full load with declared counts, the same version again (no run), an older one
+    (refused), and a load that lacks entries (refused)."""
+    root = scratch_dir(spark, "root")
+    part = read_table(spark, sf, "part")
+    snapshots.ensure_tables(spark, root)
+    release_1 = _release_on_disk(spark, part)
+    run_load(spark, release_1, root, _info("2025_02", 1), declared={"part": part.count()})
+    run_load(spark, release_1, root, _info("2025_02", 1), mode="delta")
+    for version, sources, declared in (
+        ("2025_01", release_1, None),
+        ("2025_03", _release_on_disk(spark, part.where(F.col("p_size") <= 40)), {"part": part.count()}),
+    ):
+        try:
+            run_load(spark, sources, root, _info(version, 2), mode="delta", declared=declared)
+        except ValueError:
+            pass
+    history = snapshots.load_history(spark, root)
+    counts = F.element_at("entry_counts", 1)
+    return history.select(
+        "status", "mode", "dataset", counts["n_declared"].alias("n_declared"), counts["n_loaded"].alias("n_loaded"),
+        F.element_at(F.filter("row_counts", lambda t: t["table_name"] == "genes"), 1)["inserted"].alias("genes_inserted"),
+    )
+
+
+@query
+def snapshot_of_version(spark: SparkSession, sf: str) -> DataFrame:
+    """Two releases, the first published again: both are read by their version."""
+    root = _two_releases(spark, sf)
+    first = snapshots.resolve_generation(spark, root, version="2025_01")
+    snapshots.publish(spark, root, first, "rollback")
+    counts = [
+        compare.table_counts(snapshots.open_snapshot(spark, root, version=v)).withColumn("version", F.lit(v)) for v in ("2025_01", "2025_02")
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def releases_live_at(spark: SparkSession, sf: str) -> DataFrame:
+    """Which release each event falls into, if one were published at the time of every tenth order: an as-of join."""
+    seq = F.row_number().over(Window.orderBy("o_orderdate", "o_orderkey"))
+    orders = read_table(spark, sf, "orders").where("o_orderkey % 1000 = 0").select("o_orderdate", "o_orderkey", seq.cast("long").alias("seq"))
+    catalog = orders.select(
+        "seq", F.date_format("o_orderdate", "yyyy_MM").alias("version"), F.col("o_orderdate").alias("published_at"),
+        F.lead("o_orderdate").over(Window.orderBy("seq")).alias("replaced_at"),
+    )
+    events = read_table(spark, sf, "events").select("event_id", F.col("ts").alias("at"))
+    return snapshots.live_at(events, catalog).select("event_id", "seq", "version")
+
+
 @query
 def load_rollback_counts(spark: SparkSession, sf: str) -> DataFrame:
     """After two releases the first one is published again."""

@@ -114,9 +114,25 @@ RELEASE_METADATA = _struct(
     "version string, release_date date, load_timestamp timestamp, "
     "swissprot_entry_count int, trembl_entry_count int"
 )
-LOAD_HISTORY = _struct(
-    "run_id string, status string, mode string, dataset string, start_time timestamp, "
-    "end_time timestamp, error_message string, generation string"
+_COUNTS = ("inserted", "updated", "kept", "deleted")
+ROW_COUNTS = T.StructType([T.StructField("table_name", T.StringType()), *(T.StructField(c, T.LongType()) for c in _COUNTS)])
+ENTRY_COUNTS = _struct("dataset string, n_declared bigint, n_loaded bigint")
+# ``row_counts`` has what a load did to each table, ``entry_counts`` the entries of each dataset.
+LOAD_HISTORY = T.StructType(
+    [
+        *_struct(
+            "run_id string, status string, mode string, dataset string, start_time timestamp, "
+            "end_time timestamp, error_message string, generation string"
+        ),
+        T.StructField("row_counts", T.ArrayType(ROW_COUNTS)),
+        T.StructField("entry_counts", T.ArrayType(ENTRY_COUNTS)),
+    ]
 )
-# One row per publication; the row with the largest ``seq`` names the live generation.
+# One entry per publication; the one with the largest ``seq`` names the live generation.
 PUBLICATIONS = _struct("seq bigint, generation string, mode string, published_at timestamp")
+
+# Rows of these tables lie in a folder per hash bucket of their key; child rows carry the bucket of their protein.
+BUCKET = "bucket"
+BUCKETED = ("proteins", "sequences")
+# The containment index over JSON columns.
+JSON_TERMS = _struct("blob string, term bigint, primary_accession string, bucket int")
