@@ -1,9 +1,12 @@
 """Cross-tokenizer alignment: which ids of two tokenizers cover the same bytes, and how common each pair is.
 
-Texts are encoded by both tokenizers chunk by chunk: a blank between two characters that are letters, digits, punctuation
-or symbols starts a token in both (neither has tokens that go on over it), so the chunks between such blanks are
-independent and equal chunks are aligned once a task. A text with a chunk that doesn't come back byte by byte is encoded
-again as a whole, so that nothing rests on the cut.
+Every token has an end in bytes. Between two neighbouring ends of either side there is one token of each, so the ends of
+both sides together are the links, and the ends they share cut the groups: all of it is sorting and searching in arrays.
+
+Long texts are encoded in slices. They are cut at a blank between two characters that are letters, digits, punctuation
+or symbols: it starts a token in both tokenizers (neither has tokens that go on over it), so the slices' ids are those of
+the whole text. A text with a slice that doesn't come back byte by byte is encoded at once, so that nothing rests on the
+cut.
 
 Pair counts come from sorted runs that are merged over the corpus (see ``pair_runs``); the answers are added up at the
 postings of each run, which never leave it.
@@ -12,6 +15,7 @@ postings of each run, which never leave it.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,13 +33,13 @@ RADIXES = 64
 SPILL_RECORDS = 1 << 21
 SPILL_DOCUMENTS = 1 << 16
 FAN_IN = 64
-CACHE_BYTES = 48 << 20
 SLICE_CHARS = 1 << 18
 PIECE_SPACE = "▁"
 
 _SAFE = r"[\p{L}\p{N}\p{P}\p{S}]"
 _CUT = regex.compile(rf"(?<={_SAFE}) (?={_SAFE})")
-_WHOLE = regex.compile(rf"{_SAFE}(?:.*{_SAFE})?", regex.DOTALL)
+# Fixed value: how a byte-level vocabulary splits text before it merges.
+_PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -46,89 +50,50 @@ def byte_level_alphabet() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Ids and bytes of the two tokenizers."""
+    """Ids and bytes of the two tokenizers.
+
+    The byte-level file is run as ranks, several times faster than by its own library; that needs ids in the order of
+    the merges. Tests hold it against that library.
+    """
 
     def __init__(self, byte_level_path: str, pieces_path: str):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(byte_level_path)
-        self.a.encode_special_tokens = True
+        with open(byte_level_path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
         alphabet = byte_level_alphabet()
-        self.a_bytes = {i: bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in model["vocab"].items()}
+        merged = ("".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model["merges"])
+        if any(model["vocab"][token] != 256 + i for i, token in enumerate(merged)):
+            raise ValueError(f"the ids of {byte_level_path} are not in the order of its merges")
+        self.a = tiktoken.Encoding("own", pat_str=_PRETOKENS, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(PIECE_SPACE, " ").encode())
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        return list(zip(a, self.b.encode(texts, num_threads=1), strict=True))
-
-
-@dataclass
-class Aligned:
-    n_a: int
-    n_b: int
-    groups: str
-    n_groups: int
-    pairs: np.ndarray  # of all links
-
-
-def align(text: str, a: list[int], b: list[int], tokenizers: Tokenizers, sides: int) -> Aligned | None:
-    """Groups and links of one text's ids; None if their bytes aren't those of the text."""
-    a_parts, b_parts = [tokenizers.a_bytes[i] for i in a], [tokenizers.b_bytes[i] for i in b]
-    whole = b" " + text.encode()
-    if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-        return None
-    groups, pairs = [], []
-    i = j = a_end = b_end = first_i = first_j = 0
-    # Both ends move over the bytes; the token that ends first gives way to the next.
-    while i < len(a):
-        a_next, b_next = a_end + len(a_parts[i]), b_end + len(b_parts[j])
-        pairs.append(a[i] * sides + b[j])
-        if a_next <= b_next:
-            i, a_end = i + 1, a_next
-        if b_next <= a_next:
-            j, b_end = j + 1, b_next
-        if a_end == b_end:
-            groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-            first_i, first_j = i, j
-    return Aligned(len(a), len(b), ";".join(groups), len(groups), np.array(pairs, np.int64))
-
-
-@dataclass
-class Chunks:
-    """Aligned chunks, remembered up to a number of bytes."""
-
-    tokenizers: Tokenizers
-    sides: int
-    known: dict[str, int] = field(default_factory=dict)
-    held: list[Aligned | None] = field(default_factory=list)
-    size: int = 0
-
-    def learn(self, chunks: list[str]) -> None:
-        if self.size > CACHE_BYTES:
-            self.known, self.held, self.size = {}, [], 0
-        new = list({c for c in chunks if c not in self.known})
-        for c, (a, b) in zip(new, self.tokenizers.encode(new), strict=True):
-            self.known[c] = len(self.held)
-            self.held.append(aligned := align(c, a, b, self.tokenizers, self.sides))
-            self.size += 200 + 4 * len(c) + (len(aligned.groups) + aligned.pairs.nbytes if aligned else 0)
-
-
-def cut(text: str) -> list[str]:
-    """Chunks between blanks that start a token in both tokenizers."""
-    chunks = text.split(" ")
-    # Most texts have blanks between words only, and no chunk needs a closer look.
-    if all(c.isalnum() or _WHOLE.fullmatch(c) for c in chunks):
-        return chunks
-    return _CUT.split(text)
+        self.sides = len(self.b_bytes)
+        self.a_lengths, self.b_lengths = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
+        # An id as it is written in a group, by whether it is the last of its side there.
+        self.written = [f"{i}{sign}" for i in range(len(self.a_bytes)) for sign in ",|"]
+        self.b_written = len(self.written)
+        self.written += [f"{i}{sign}" for i in range(self.sides) for sign in ",;"]
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a blank and the text; None if the bytes of either side's tokens differ from them."""
+        a, b = self.a.encode_ordinary(" " + text), self.b.encode(text)
+        whole = b" " + text.encode()
+        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
+            return None
+        return np.array(a, np.int64), np.array(b, np.int64)
 
 
 def slices(text: str, length: int = SLICE_CHARS) -> Iterator[str]:
-    """A text in parts that end where a chunk ends."""
+    """A text in parts that end where a token ends; the blanks between them belong to the next part's first token."""
     at = 0
     while len(text) - at > length and (place := _CUT.search(text, at + length)):
         yield text[at : place.start()]
@@ -147,47 +112,40 @@ class Document:
     times: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
 
-def align_text(text: str, chunks: Chunks) -> Document:
+def _aligned(a: np.ndarray, b: np.ndarray, tokenizers: Tokenizers) -> tuple[str, int, np.ndarray]:
+    """The groups as text, their number, and the pairs of all links."""
+    a_ends, b_ends = np.cumsum(tokenizers.a_lengths[a]), np.cumsum(tokenizers.b_lengths[b])
+    ends = np.union1d(a_ends, b_ends)
+    pairs = a[np.searchsorted(a_ends, ends)] * tokenizers.sides + b[np.searchsorted(b_ends, ends)]
+    shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    a_group, b_group = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
+    signs = np.concatenate([2 * a + (shared[a_group] == a_ends), tokenizers.b_written + 2 * b + (shared[b_group] == b_ends)])
+    order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+    text = "".join(map(tokenizers.written.__getitem__, signs[order].tolist()))
+    return text[:-1], len(shared), pairs
+
+
+def align_text(text: str, tokenizers: Tokenizers) -> Document:
     if not text:
         return Document()
+    parts = [tokenizers.encode(part) for part in slices(text)]
+    if any(p is None for p in parts):
+        parts = [tokenizers.encode(text)] if len(parts) > 1 else parts
+        if parts[0] is None:
+            return Document()
     out, digest, pairs, times = Document(), hashlib.sha256(), [], []
-    for k, part in enumerate(slices(text)):
-        pieces = cut(part)
-        try:
-            found = list(map(chunks.known.__getitem__, pieces))
-        except KeyError:
-            chunks.learn(pieces)
-            found = list(map(chunks.known.__getitem__, pieces))
-        aligned = list(map(chunks.held.__getitem__, found))
-        if None in aligned:
-            return _whole(text, chunks)
-        digest.update((";" if k else "").encode() + ";".join([x.groups for x in aligned]).encode())
-        out.n_a += sum([x.n_a for x in aligned])
-        out.n_b += sum([x.n_b for x in aligned])
-        out.n_groups += sum([x.n_groups for x in aligned])
-        distinct, n = np.unique(np.concatenate([x.pairs for x in aligned]), return_counts=True)
+    for k, (a, b) in enumerate(parts):
+        groups, n_groups, links = _aligned(a, b, tokenizers)
+        digest.update(f"{';' * (k > 0)}{groups}".encode())
+        out.n_a, out.n_b, out.n_groups, out.n_links = out.n_a + len(a), out.n_b + len(b), out.n_groups + n_groups, out.n_links + len(links)
+        distinct, n = np.unique(links, return_counts=True)
         pairs.append(distinct)
         times.append(n)
-    return _summed(out, digest, pairs, times)
-
-
-def _whole(text: str, chunks: Chunks) -> Document:
-    """A text with a chunk that differs: encoded at once, its bytes compared as a whole."""
-    ((a, b),) = chunks.tokenizers.encode([text])
-    aligned = align(text, a, b, chunks.tokenizers, chunks.sides)
-    if aligned is None:
-        return Document()
-    distinct, n = np.unique(aligned.pairs, return_counts=True)
-    out = Document(aligned.n_a, aligned.n_b, aligned.n_groups)
-    return _summed(out, hashlib.sha256(aligned.groups.encode()), [distinct], [n])
-
-
-def _summed(out: Document, digest, pairs: list[np.ndarray], times: list[np.ndarray]) -> Document:
     out.pairs, out.times, out.groups = pairs[0], times[0], digest.hexdigest()
     if len(pairs) > 1:
         out.pairs, back = np.unique(np.concatenate(pairs), return_inverse=True)
-        out.times = np.bincount(back, np.concatenate(times)).astype(np.int64)
-    out.n_links = int(out.times.sum())
+        out.times = np.zeros(len(out.pairs), np.int64)
+        np.add.at(out.times, back, np.concatenate(times))
     return out
 
 
@@ -201,8 +159,6 @@ def _encoded(rows: DataFrame, byte_level_path: str, pieces_path: str, radixes: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = Tokenizers(byte_level_path, pieces_path)
-        sides = len(tokenizers.b_bytes)
-        chunks = Chunks(tokenizers, sides)
         ids: list = []
         docs: list[Document] = []
         n_records = 0
@@ -221,14 +177,14 @@ def _encoded(rows: DataFrame, byte_level_path: str, pieces_path: str, radixes: i
             pairs, times = np.concatenate([d.pairs for d in docs]), np.concatenate([d.times for d in docs])
             numbers = np.repeat(np.arange(len(docs)), [len(d.pairs) for d in docs])
             nothing = pa.nulls(1, pa.list_(structs.type))
-            for radix, directory, postings in radix_parts(pairs, numbers, times, sides, radixes):
+            for radix, directory, postings in radix_parts(pairs, numbers, times, tokenizers.sides, radixes):
                 yield row(radix, nothing, directory, postings)
 
         for batch in batches:
             id_type = batch.schema.field(0).type
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids.append(doc_id)
-                docs.append(align_text(text.as_py() or "", chunks))
+                docs.append(align_text(text.as_py() or "", tokenizers))
                 n_records += len(docs[-1].pairs)
                 if n_records >= spill_records or len(docs) >= SPILL_DOCUMENTS:
                     yield from spilled()

@@ -83,19 +83,28 @@ def test_alignment_of_parts_empty_tables_and_null_ids(spark, monkeypatch):
     got = alignment.align_tokenizers(docs, A, B).collect()
     assert sorted((str(r.doc_id), r.n_links, r.count_sum) for r in got) == [("3", 0, 0), ("None", 2, 4), ("None", 2, 4)]
     assert alignment.align_tokenizers(docs.limit(0), A, B).count() == 0
-    chunks = alignment.Chunks(tokenizers := alignment.Tokenizers(A, B), len(tokenizers.b_bytes))
+    tokenizers = alignment.Tokenizers(A, B)
     text = "some words, and more\n  of them (so many) " * 50
-    whole = alignment.align_text(text, chunks)
+    whole = alignment.align_text(text, tokenizers)
     in_slices = list(alignment.slices(text, 64))
     assert len(in_slices) > 10
     monkeypatch.setattr(alignment, "slices", lambda t: in_slices)
-    cut = alignment.align_text(text, chunks)
+    cut = alignment.align_text(text, tokenizers)
     assert (cut.n_a, cut.n_b, cut.groups, cut.pairs.tolist(), cut.times.tolist()) == (whole.n_a, whole.n_b, whole.groups, whole.pairs.tolist(), whole.times.tolist())
     for bad in ({"fan_in": 1}, {"radixes": 0}):
         with pytest.raises(ValueError):
             alignment.align_tokenizers(docs, A, B, **bad)
 
 
+def test_ranks_give_the_ids_of_the_file(spark):
+    own, theirs = alignment.Tokenizers(A, B).a, Tokenizer.from_file(A)
+    theirs.encode_special_tokens = True
+    points = [c for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 64):
+        text = "".join(f"a{chr(c)}b {chr(c)}{chr(c)}5{chr(c)}! {chr(c)}" for c in points[at : at + 64])
+        assert own.encode_ordinary(text) == theirs.encode(text, add_special_tokens=False).ids
+
+
 def test_runs_merge_like_a_counter():
     r = np.random.default_rng(1)
     runs = []
