@@ -1,9 +1,12 @@
+import csv
 import hashlib
+import io
+import random
 from datetime import date
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from kbetl.operators import lookup
 from kbetl.schemas import TABLES
@@ -106,6 +109,54 @@ def test_tsv_header_order_and_bad_values(spark, write):
         tsv.read_tsv(spark, bad, "taxonomy").collect()
 
 
+def random_table(r, n):
+    signs = ["a", "B c", "\n", "\r\n", '"', '""', "\t", "é", "語", "'", "\\", "", " "]
+    return [(str(i), "".join(r.choices(signs, k=r.choice([0, 1, 3, 40]))) or None, "".join(r.choices(signs, k=2)) or None) for i in range(n)]
+
+
+def as_tsv(names, data, end="\n"):
+    out = io.StringIO()
+    writer = csv.writer(out, delimiter="\t", lineterminator=end)
+    writer.writerow(names)
+    writer.writerows([["" if v is None else v for v in row] for row in data])
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("size, end", [(1 << 30, "\n"), (700, "\n"), (700, "\r\n"), (60, "\n")])
+def test_tsv_records_are_those_of_a_reader_wherever_it_is_cut(spark, write, size, end):
+    data = random_table(random.Random(size), 300)
+    text = as_tsv(["k", "v", "w"], data, end)
+    path = write(text, "t.tsv", f"s{size}{len(end)}")
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    want = sorted((tuple(v or None for v in row) for row in csv.reader(io.StringIO(text, newline=""), delimiter="\t")), key=str)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "kvw"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        got = tsv.read_tsv(spark, path, schema)
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(w) for w in want if w != ("k", "v", "w"))
+        if size < 1000:
+            assert tsv._lines(spark, path).select(F.spark_partition_id()).distinct().count() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_tsv_headers_differ_by_file(spark, write):
+    schema = TABLES["genes"].schema
+    write(as_tsv(["protein_accession", "gene_name", "is_primary"], [("P1", "g", "True")]), "a.tsv", "h")
+    write(as_tsv(["gene_name", "other", "protein_accession"], [("g2", "x", "P2"), ("a\nb", "", "P3")]), "b.tsv", "h")
+    folder = write("", "empty.tsv", "h").rsplit("/", 1)[0]
+    assert rows(tsv.read_tsv(spark, folder, schema)) == [("P1", "g", True), ("P2", "g2", None), ("P3", "a\nb", None)]
+    with pytest.raises(ValueError, match="none of the columns"):
+        tsv.read_tsv(spark, write("x\ty\n1\t2\n", "c.tsv", "other"), schema)
+    with pytest.raises(ValueError, match="repeated"):
+        tsv.read_tsv(spark, write("gene_name\tgene_name\n1\t2\n", "d.tsv", "twice"), schema)
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        tsv.read_tsv(spark, write("gene_name\tprotein_accession\n1\t2\t3\n", "e.tsv", "long"), schema).collect()
+    assert tsv.read_tsv(spark, write("gene_name\tprotein_accession\n", "f.tsv", "head"), schema).count() == 0
+
+
 def test_resolve_accession(spark):
     proteins = spark.createDataFrame([("P1",), ("P2",)], "primary_accession string")
     old = spark.createDataFrame([("P1", "S"), ("P2", "S"), ("P1", "T")], TABLES["accessions"].schema)
