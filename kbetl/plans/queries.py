@@ -410,7 +410,7 @@ def _written_children(spark: SparkSession, sf: str) -> dict[str, dict[str, DataF
 def _merged(spark: SparkSession, sf: str, table: str, **options) -> DataFrame:
     """One table of the merge, on the path a load takes: small key sets are written."""
     r = _written_children(spark, sf) if table == "children" else release(spark, sf)
-    return delta.apply_delta(r["prod"], r["stage"], DELTA, work_dir=scratch_dir(spark, "merge"), **options)[table]
+    return delta.apply_delta(r["prod"], r["stage"], DELTA, work_dir=scratch_dir(spark, "merge"), only=[table], **options)[table]
 
 
 @query
