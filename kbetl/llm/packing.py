@@ -27,11 +27,11 @@ from .common import pick, table, written
 
 MAX_TOKENS = 2048
 END_ID = 0
-CACHED_WORDS = 700_000  # in each of two generations
+CACHED_BYTES = 32 << 20  # of words and ids in each of two generations
+ENTRY_BYTES = 160  # what an entry takes beside them
 SLICE_BYTES = 1 << 21
 _FIT_PASSES = 6
 
-_tokenizers: dict[str, WordTokenizer] = {}
 
 
 def _byte_letters() -> dict[str, int]:
@@ -92,6 +92,7 @@ class WordTokenizer:
         self.plain = _PlainWords(path)
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.size = 0
 
     def _learn(self, words: set[bytes]) -> None:
         """Makes unknown ``words`` known: from the generation before, or else encoded."""
@@ -128,9 +129,12 @@ class WordTokenizer:
         size = 0
 
         def settle() -> Iterator[bytes]:
-            if len(self.known) > CACHED_WORDS:
-                self.known, self.older = {}, self.known
-            self._learn(set().union(*(words for words, _ in group)).difference(self.known))
+            if self.size > CACHED_BYTES:
+                self.known, self.older, self.size = {}, self.known, 0
+            new = set().union(*(words for words, _ in group)).difference(self.known)
+            self._learn(new)
+            # Ids take about as much as their word.
+            self.size += sum(map(len, new)) * 2 + ENTRY_BYTES * len(new)
             get = self.known.__getitem__
             for words, ends in group:
                 open_.append(b"".join(map(get, words)))
@@ -159,12 +163,6 @@ class WordTokenizer:
         return next(self.encode_all([text]))
 
 
-def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, keep_ids: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, task, nth`` and, if asked for, ``ids`` (binary) of each piece.
 
@@ -175,7 +173,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOK
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"] + ["ids"] * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all = _tokenizer(tokenizer_path).encode_all
+        encode_all = WordTokenizer(tokenizer_path).encode_all  # goes with the task: nothing is left in a reused worker
         seen = [0] * (max_tokens + 1)
         for batch in batches:
             source, piece, start, length, crc, nth, ids = [], [], [], [], [], [], []
