@@ -1,6 +1,7 @@
 """Personal data replaced by keyed, type-consistent surrogates, with DataFrame expressions only.
 
-1. One pattern finds all kinds of entities. A text is cut at its matches; only texts with one go further.
+1. One pattern finds all kinds of entities, in one scan whose result is a written table. A text is cut at its matches;
+   only texts with one go further.
 2. Mention lists are reduced to distinct ones (copies of a text share theirs), then to distinct entities. An
    entity is named by its kind and its canonical form (lower case, digits only, ...), so all spellings of one
    entity meet here, in whatever document they stand.
@@ -8,7 +9,8 @@
    case and script, digits stay digits, checksums that held hold again, names keep their gender.
 4. Collision check: a surrogate that another entity has taken, or that is itself an entity of the corpus, is
    drawn again with the next attempt number until all are distinct.
-5. Surrogates go back to the mention lists and between the pieces of the texts.
+5. Surrogates go back to the mention lists and between the pieces of the texts. In the pieces, later mentions of a name
+   without its title, in full or by the surname, become the same surrogate.
 
 A hot entity or a hot mention list is one row before any join of step 3 and 4; the joins back are equality
 joins that adaptive execution splits.
@@ -24,7 +26,7 @@ from .common import pick, table, written
 DEFAULT_KEY = "surrogates"
 MAX_ATTEMPTS = 64
 
-_LABEL = r"[\p{L}\p{N}\-]{1,63}"
+_LABEL = r"[\p{L}\p{N}\-]++"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _TITLES = {
     "m": ["Mr", "Herr", "Monsieur", "Señor", "г-н", "Господин", "Κύριος"],
@@ -32,7 +34,9 @@ _TITLES = {
     "n": ["Dr", "Prof"],
 }
 _TITLE = r"(?<!\p{L})(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + r")\.? "
-_ASSIGNED = r"(?i:password|passwd|token|secret|api[_\-]?key)\s{0,3}[=:]\s{0,3}\"?"
+_ASSIGNED = r"(?i:password|passwd|token|secret|api[_\-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
+# A word of a name: with hyphens or apostrophes in it, or an initial.
+_NAME_WORD = r"\p{Lu}(?:[\p{L}\p{M}]++(?:['’\-]\p{L}[\p{L}\p{M}]*+)*+|['’]\p{Lu}[\p{L}\p{M}]++|\.)"
 # Lengths of IBANs by country: a match ends where its IBAN ends.
 _IBAN_COUNTRIES = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -49,8 +53,9 @@ _WORD_END = r"(?![\p{L}\p{N}])"
 
 # In this order: where two kinds match at one place, the first wins.
 PATTERNS = {
-    "email": rf"(?<![\p{{L}}\p{{N}}._%+\-])[\p{{L}}\p{{N}}._%+\-]{{1,128}}+@{_LABEL}(?:\.{_LABEL}){{1,8}}",
-    "secret": rf"{_ASSIGNED}(?=[A-Za-z_\-+/]{{0,128}}\d)[A-Za-z0-9_\-+/]{{8,256}}",
+    "email": rf"(?<![\p{{L}}\p{{N}}._%+\-])[\p{{L}}\p{{N}}._%+\-]++@{_LABEL}(?:\.{_LABEL})+",
+    # The whole value: up to its quote, or to white space without the punctuation of the sentence.
+    "secret": rf"{_ASSIGNED}(?:(?<=\")[^\"\r\n]{{8,}}(?=\"|$)|(?<=')[^'\r\n]{{8,}}(?='|$)|[^\s\"'<>]{{7,}}[^\s\"'<>.,;:)\]}}])",
     "key": r"(?<![\p{L}\p{N}])AKIA[A-Z0-9]{16}(?![\p{L}\p{N}])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d)(?!\.\d)",
     "phone": r"(?<![\d+])(?:\+?1[ .\-]?)?\(\d{3}\)[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)"
@@ -60,10 +65,10 @@ PATTERNS = {
     "iban": rf"(?<![\p{{L}}\p{{N}}])(?=[A-Z]{{2}}\d{{2}})(?:(?:{_IBAN_BODIES}){_WORD_END}"
     rf"|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_WORD_END})",
     "card": r"(?<![\d.\-])(?:\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])(?!\.\d)",
-    "name": rf"{_TITLE}\p{{Lu}}\p{{L}}{{1,40}}+(?: \p{{Lu}}\p{{L}}{{1,40}}+)?",
+    "name": rf"{_TITLE}{_NAME_WORD}(?: {_NAME_WORD}){{0,3}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_MAY_HOLD = rf"[0-9@]|AKIA|{_TITLE}"
+_MAY_HOLD = rf"[0-9@]|AKIA|{_TITLE}|{_ASSIGNED}"
 
 # Given names by script and gender; surnames are made of syllables.
 _GIVEN = {
@@ -211,24 +216,43 @@ def _script(value: Column) -> Column:
 
 
 def _name(key: str, canonical: Column, attempt: Column) -> Column:
-    """A name in lower case with as many words; the surname depends on the surname alone while attempts are few."""
+    """A name in lower case with as many words of the same kinds; the surname depends on the surname alone while attempts are few."""
     gender, words = F.substring(canonical, 1, 1), F.split(F.substring(canonical, F.lit(3), F.length(canonical)), " ")
+    before = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
     script, last, two = _script(canonical), F.element_at(words, -1), F.size(words) > 1
     own = _hash(key, F.lit("surname"), last, F.when(two, F.floor(attempt / 4)).otherwise(attempt).cast("string"))
-    surname, given = F.lit(None).cast("string"), F.lit(None).cast("string")
+    surname = F.lit(None).cast("string")
     for name, (consonants, vowels) in _SYLLABLES.items():
         made = F.concat(*(_of(a, _byte(own, F.lit(i))) for i, a in enumerate((consonants, vowels) * 4)))
         surname = F.when(script == name, made).otherwise(surname)
     pick_at = _hash(key, F.lit("given"), canonical, attempt.cast("string"))
-    for (name, sex), names in _GIVEN.items():
-        chosen = F.lower(F.element_at(F.array(*map(F.lit, names)), F.pmod(_byte(pick_at, F.lit(0)), F.lit(len(names))) + 1))
-        given = F.when((script == name) & (gender == sex), chosen).otherwise(given)
-    return F.concat(gender, F.lit(" "), F.when(two, F.concat(given, F.lit(" "))).otherwise(""), surname)
+
+    def given_name(number: Column) -> Column:
+        chosen = F.lit(None).cast("string")
+        for (name, sex), names in _GIVEN.items():
+            own_list = F.array(*(F.lit(n.lower()) for n in names))
+            chosen = F.when((script == name) & (gender == sex), F.element_at(own_list, F.pmod(number, F.lit(len(names))) + 1)).otherwise(chosen)
+        return chosen
+
+    def stand_in(word: Column, i: Column) -> Column:
+        """An initial for an initial, and as many names with hyphens as there were."""
+        number = _byte(pick_at, i)
+        initial = F.concat(F.substring(given_name(number), 1, 1), F.lit("."))
+        parts = F.transform(F.split(word, "-"), lambda _, k: given_name(number + k))
+        return F.when(word.rlike(r"^.\.$"), initial).otherwise(F.array_join(parts, "-"))
+
+    return F.concat(gender, F.lit(" "), F.array_join(F.concat(F.transform(before, stand_in), F.array(surname)), " "))
 
 
 def surrogate_canonical(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
-    """The canonical form of the entity's surrogate."""
-    digest = _hash(key, kind, F.lit("\u0001"), canonical, F.lit("\u0001"), attempt.cast("string"))
+    """The canonical form of the entity's surrogate.
+
+    E-mail addresses and secrets grow by a character with every fourth attempt, so that a shape with few surrogates
+    never runs out of them.
+    """
+    more = F.when(kind.isin("email", "secret"), F.repeat(F.lit("a"), F.floor(attempt / 4).cast("int"))).otherwise("")
+    spelt, canonical = canonical, F.concat(more, canonical)
+    digest = _hash(key, kind, F.lit("\u0001"), spelt, F.lit("\u0001"), attempt.cast("string"))
     at = F.instr(canonical, "@")
     domain_end = F.length(F.substring_index(canonical, ".", -1)) + 1
     email = F.concat(
@@ -280,7 +304,7 @@ def _spelled(kind: Column, value: Column, surrogate: Column) -> Column:
         F.when(kind == "email", email)
         .when(kind.isin("phone", "ssn", "card"), _refill(value, surrogate))
         .when(kind == "iban", spaced)
-        .when(kind == "name", F.when(upper, F.upper(name)).otherwise(F.initcap(name)))
+        .when(kind == "name", F.when(upper, F.upper(name)).otherwise(F.array_join(F.transform(F.split(name, "-"), lambda part: F.initcap(part)), "-")))
         .otherwise(surrogate)
     )
 
@@ -300,7 +324,8 @@ def draw_surrogates(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
             used = done.select(F.col("kind").alias("k"), F.col("surrogate").alias("s"))
             good = good.join(used, (good.kind == used.k) & (good.surrogate == used.s), "left_anti")
         good = written(good.select("kind", "canonical", "surrogate"), "surrogates")
-        done = good if done is None else done.unionByName(good)
+        # One table of all so far: a later round reads it, not each round's own.
+        done = good if done is None else written(done.unionByName(good), "surrogates-so-far")
         open_ = drawn.select("kind", "canonical").join(good.select("kind", "canonical"), ["kind", "canonical"], "left_anti")
         if not open_.limit(1).count():
             return done
@@ -309,23 +334,46 @@ def draw_surrogates(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
             raise ValueError("a kind has more entities than surrogates")
 
 
+def _aliases(mention: Column, new: Column) -> Column:
+    """What a name with a title is called without it, and what that becomes: in full, and by the surname."""
+    title = F.lit(f"^{_TITLE}")
+
+    def bare(name: Column) -> Column:
+        return F.regexp_replace(name, title, F.lit(""))
+
+    def last(name: Column) -> Column:
+        return F.element_at(F.split(bare(name), " "), -1)
+
+    pairs = F.array(F.struct(bare(mention).alias("old"), bare(new).alias("new")), F.struct(last(mention).alias("old"), last(new).alias("new")))
+    return F.filter(pairs, lambda p: F.length(p["old"]) > 2)
+
+
+def _without_titles(piece: Column, aliases: Column) -> Column:
+    """A piece of text with the aliases in it replaced, whole words only, longer ones first."""
+
+    def one(text: Column, alias: Column) -> Column:
+        found = text.contains(alias["old"])
+        pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), alias["old"], F.lit(r"\E(?![\p{L}\p{N}])"))
+        return F.when(found, F.regexp_replace(text, pattern, alias["new"])).otherwise(text)
+
+    return F.aggregate(aliases, piece, one)
+
+
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY) -> DataFrame:
-    """``docs`` with its text replaced and the new columns ``n_entities, kinds``; row order isn't kept.
+    """``docs`` with its text replaced and two more columns at the end, ``n_entities, kinds``; row order isn't kept.
 
     * A null or empty text stays as it is and has no entities. Texts are searched whole.
     * The same entity gets the same surrogate in all texts; different ones get different surrogates, none of
       which is an entity of the input. Repeated rows give the same texts. An empty table gives no rows.
-    * Other columns come back unchanged, whatever their names; a column named like a new one is an error.
+    * A name without its title is replaced where the same text also has it with one; it isn't counted again.
+    * Other columns come back unchanged, whatever their names, also ``n_entities`` or ``kinds``.
     """
     names = docs.columns
-    if {n.lower() for n in names} & {"n_entities", "kinds"}:
-        raise ValueError("the input has a column n_entities or kinds")
     plain = docs.toDF(*(f"_{i}" for i in range(len(names))))
     text = f"_{names.index(text_col)}"
     own = [f"_{i}" for i in range(len(names))]
     matches = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
-    found = plain.withColumn("mentions", F.when(F.col(text).rlike(_MAY_HOLD), matches))
-    # Both branches scan; only texts with a mention are shuffled.
+    found = written(plain.withColumn("mentions", F.when(F.col(text).rlike(_MAY_HOLD), matches)), "found-mentions")
     without = found.where("mentions is null or size(mentions) = 0").select(
         *own, F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("kinds")
     )
@@ -344,11 +392,13 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = DEFAULT
         ),
         "spelled",
     )
-    entry = F.struct("place", F.coalesce("new", at.mention).alias("new"), "kind")
-    replaced = written(
-        at.join(of_mention, "mention", "left").groupBy("list").agg(F.sort_array(F.collect_list(entry)).alias("news")), "replaced"
-    )
+    entry = F.struct("place", F.coalesce("new", at.mention).alias("new"), "kind", F.when(F.col("kind") == "name", _aliases(F.col("mention"), F.col("new"))).alias("aliases"))
+    news = at.join(of_mention, "mention", "left").groupBy("list").agg(F.sort_array(F.collect_list(entry)).alias("news"))
+    called = F.array_distinct(F.flatten(F.filter("news.aliases", lambda a: a.isNotNull())))
+    longest_first = F.transform(F.sort_array(F.transform(called, lambda a: F.struct(-F.length(a["old"]), a["old"].alias("old"), a["new"].alias("new")))), lambda a: F.struct(a["old"].alias("old"), a["new"].alias("new")))
+    replaced = written(news.withColumn("aliases", longest_first), "replaced")
     pieces = F.split(F.col(text), ANY, -1)
+    pieces = F.when(F.size("aliases") > 0, F.transform(pieces, lambda piece: _without_titles(piece, F.col("aliases")))).otherwise(pieces)
     mixed = F.zip_with(pieces, F.col("news.new"), lambda piece, new: F.concat(piece, F.coalesce(new, F.lit(""))))
     kinds = F.filter("news.kind", lambda k: k.isNotNull())
     with_ = held.join(replaced, "list").select(

@@ -61,15 +61,76 @@ def test_models_hold_every_counted_gram(spark):
     text = "".join(chr(r.randint(0x4E00, 0x4E00 + 5000)) for _ in range(30_000))
     rows = [("zh", text)] + [(f"l{i}", "the of and") for i in range(99)]
     models = li.fit_models(spark.createDataFrame(rows, "lang string, text string"))
-    grams, starts, ends = li._windows([text])
+    grams, starts, ends = li._windows([li._Piece(text)])
     keys, counts = np.unique(grams[starts[0] : ends[0]], return_counts=True)
     whole = li.KneserNey.fit(keys, counts)
     assert len(models) == 100 and len(keys) > 20_000 and len(models["zh"].grams[3][0]) == len(keys)
     assert np.array_equal(models["zh"].log_prob(keys), whole.log_prob(keys))
 
 
+def test_pieces_have_the_grams_of_the_whole_text(monkeypatch):
+    r = random.Random(2)
+    for text in ["ab  cd", "  a  ", "ab \U0001d400\U0001f600x  -- É語 " * 9, *("".join(r.choices("ab \n-é\U0001d400", k=r.randint(8, 90))) for _ in range(60))]:
+        monkeypatch.setattr(li, "PIECE_CHARS", 10**6)
+        (whole, starts, ends), keep = li._windows([li._Piece(text)]), []
+        monkeypatch.setattr(li, "PIECE_CHARS", r.randint(1, 7))
+        pieces = list(li._parts(text))
+        grams, a, b = li._windows(pieces)
+        for x, y in zip(a, b):
+            keep += grams[x:y].tolist()
+        assert keep == whole[starts[0] : ends[0]].tolist() if re.search(r"[^\W\d_]", text) else len(keep) == 1
+        one_by_one = [g for p in pieces for g in (lambda w: w[0][w[1][0] : w[2][0]].tolist())(li._windows([p]))]
+        assert one_by_one == keep
+
+
+def plain_kneser_ney(texts):
+    """Interpolated Kneser-Ney by its definition, over dictionaries of strings."""
+    counts = collections.Counter(g for t in texts for s in [f"   {t} "] for g in (s[i : i + 4] for i in range(len(s) - 3)))
+    orders = {4: counts}
+    for n in (3, 2, 1):
+        orders[n] = collections.Counter(g[1:] for g in orders[n + 1])
+
+    def probability(gram):
+        if not gram:
+            return 1 / 65536
+        own = orders[len(gram)]
+        once, twice = (sum(c == k for c in own.values()) for k in (1, 2))
+        d = once / (once + 2 * twice) if once and twice else 0.5
+        same = {g: c for g, c in own.items() if g[:-1] == gram[:-1]}
+        if not same:
+            return probability(gram[1:])
+        total = sum(same.values())
+        lost = sum(min(c, d) for c in same.values()) / total
+        return max(same.get(gram, 0) - d, 0) / total + lost * probability(gram[1:])
+
+    return probability
+
+
+def test_kneser_ney_is_that_of_the_definition():
+    import numpy as np
+
+    texts = [t for _, t, lang in corpus(30) if lang == "en"]
+    grams, starts, ends = li._windows([li._Piece(t) for t in texts])
+    keys, counts = np.unique(np.concatenate([grams[a:b] for a, b in zip(starts, ends)]), return_counts=True)
+    model, want = li.KneserNey.fit(keys, counts), plain_kneser_ney(texts)
+    for gram in ["   t", "the ", "f th", "and ", "zzzz", "th z", "y of", "   z"]:
+        key = np.frombuffer(gram.encode("utf-16-le"), "<u8").copy()
+        assert abs(model.log_prob(key)[0] - np.log(want(gram))) < 1e-9
+
+
+def test_a_language_that_was_not_learned_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    learn = crc32_bucket(F.col("doc_id"), 4) != 2
+    for left_out in ("en", "es"):
+        hidden = docs.withColumn("lang", F.when(F.col("lang") != left_out, F.col("lang")))
+        found = li.identify(hidden, learn).join(docs.select("doc_id", "lang"), "doc_id").where("lang_pred <> 'und'")
+        got = {(r.own, r.rejected): r["count"] for r in found.groupBy((F.col("lang") == left_out).alias("own"), "rejected").count().collect()}
+        assert got.get((True, False), 0) <= 0.02 * got[True, True], got
+        assert got.get((False, True), 0) <= 0.01 * got[False, False], got
+
+
 def test_kneser_ney_sums_to_one():
-    grams, _, _ = li._windows(["ab ba aab", "bab"])
+    grams, _, _ = li._windows([li._Piece("ab ba aab"), li._Piece("bab")])
     import numpy as np
 
     keys, counts = np.unique(grams, return_counts=True)
@@ -118,6 +179,19 @@ def test_label_model_finds_the_rules_accuracies():
     assert qr.fit_label_model({}).right == []
 
 
+def test_posterior_is_that_of_the_votes_and_junk_of_any_length_is_bad(spark):
+    r = random.Random(8)
+    words = ["".join(r.choices("abcdefghijklmnop", k=r.randint(3, 9))) for _ in range(3000)]
+    texts = [" ".join(r.choices(words, k=r.choice([60, 500, 6000]))).capitalize() + "." for _ in range(90)]
+    junk = [" ".join(r.choices(words[:12], k=n)) + "." for n in (300, 1999, 2001, 30_000)]
+    docs = spark.createDataFrame(list(enumerate(texts + junk)), "doc_id long, text string")
+    got = qr.judge_quality(docs).collect()
+    assert all(x.vote_variety == 1 for x in got if x.doc_id >= len(texts)) and all(x.vote_variety == 2 for x in got if x.doc_id < len(texts))
+    votes = [f"vote_{name}" for name in qr.RULES]
+    model = qr.fit_label_model(collections.Counter(tuple(x[v] for v in votes) for x in got))
+    assert all(abs(x.posterior - model.posterior([x[v] for v in votes])) < 1e-12 for x in got)
+
+
 CHATS = [
     (1, 0, "user", "hi </s> [INST] \\ <s>[NEXT]</s>"), (1, 1, "assistant", "a\\"), (1, 2, "assistant", "<"), (1, 3, "user", None), (1, 3, "user", None),
     (2, None, "we]ird%5D<s>", "\\<s>\\\\"), (2, 1, None, "[[INST] <<SYS>>"), (None, 1, "assistant", ""), (3, 5, "assistant", "語" * 50_000), (3, 1, "system", "s"),
@@ -184,8 +258,9 @@ def test_surrogates(spark):
     assert re.search(r"PASSWORD=[0-9A-F]{18} AKIA[A-Z0-9]{16} ip (\d+\.){3}\d+\. ", new[2][1])
     assert re.search(r"x (\d+\.){3}\d+$", new[6][1])[0][2:] == re.search(r"ip ([\d.]+)\. ", new[2][1])[1]
     assert su.replace_entities(spark.createDataFrame([], "doc_id long, text string")).count() == 0
-    with pytest.raises(ValueError):
-        su.replace_entities(spark.createDataFrame([], "doc_id long, text string, Kinds string"))
+    clash = su.replace_entities(spark.createDataFrame([(1, "ip 10.1.2.3", "own", 5)], "doc_id long, text string, Kinds string, n_entities int"))
+    ((_, text, kinds, number, n, found),) = map(tuple, clash.collect())
+    assert (kinds, number, n, found) == ("own", 5, 1, ["ip"]) and "10.1.2.3" not in text
 
 
 def test_surrogates_are_distinct_and_no_entity_of_the_corpus(spark):
@@ -198,6 +273,57 @@ def test_surrogates_are_distinct_and_no_entity_of_the_corpus(spark):
     assert {(r.canonical, r.surrogate) for r in got} == {(r.canonical, r.surrogate) for r in again}
 
 
+def test_whole_values_are_replaced(spark):
+    """Each text with what must be gone, and what must stay."""
+    cases = [
+        ("x token=" + "a1" * 200 + " end", "a1a1", "end"),
+        ("token=aaaa.bbbb.cccc, then", "bbbb", ", then"),
+        ("password=P@ssw0rd!2345 ok", "ssw0rd", " ok"),
+        ("password: correcthorse.", "horse", "."),
+        ('secret = "two words, a comma" rest', "comma", " rest"),
+        ("mail " + "l" * 200 + "@example.org now", "llll", " now"),
+        ("Mr O'Brien came", "Brien", " came"),
+        ("Mr. J. Smith came", "Smith", " came"),
+        ("Mr John Fitzgerald Kennedy came", "Kennedy", " came"),
+        ("Dr. Anna-Maria Müller kam", "Müller", " kam"),
+        ("Ms. Jane D. Doe came", "Doe", " came"),
+    ]
+    got = su.replace_entities(spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")).collect()
+    new = {r.doc_id: r for r in got}
+    for i, (text, gone, stays) in enumerate(cases):
+        assert gone not in new[i].text and new[i].text.endswith(stays) and new[i].n_entities == 1, new[i]
+    assert re.fullmatch(r"Mr\. [A-Z]\. [A-Z][a-z]+ came", new[7].text) and re.fullmatch(r"Mr [A-Z][a-z]+ [A-Z][a-z]+ [A-Z][a-z]+ came", new[8].text)
+    assert re.fullmatch(r"Dr\. [A-Z][a-z]+-[A-Z][a-z]+ [A-Z][a-z]+ kam", new[9].text)
+    assert re.fullmatch(r"token=[a-z]{4}\.[a-z]{4}\.[a-z]{4}, then", new[1].text)
+
+
+def test_names_without_their_title_are_the_same_person(spark):
+    texts = [
+        "Mr John Smith spoke. Later Smith and John Smith (not Smithers) left; Smith's hat.", "Smith alone is not known here.",
+        "Frau Weber und Herr Weber. Weber sagte", "Mr Li and Li",
+    ]
+    got = {r.doc_id: r for r in su.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    found = re.fullmatch(r"Mr (\w+) (\w+) spoke\. Later (\w+) and (\w+) (\w+) \(not Smithers\) left; (\w+)'s hat\.", got[0].text)
+    given, surname = found[1], found[2]
+    assert found.groups() == (given, surname, surname, given, surname, surname) and surname != "Smith" and got[0].n_entities == 1
+    assert got[1].text == texts[1] and "Weber" not in got[2].text and got[3].text.endswith(" and Li")
+
+
+def test_small_shapes_never_run_out(spark):
+    texts = [f"mail {a}@{b}.t now" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    got = su.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    new = {r.text.split()[1] for r in got}
+    assert len(got) == 400 == len(new) and not new & {t.split()[1] for t in texts}
+
+
+def test_null_texts_and_ties_between_kinds(spark):
+    nulls = spark.createDataFrame([(1, None), (2, None)], "doc_id long, text string")
+    assert [(r.text, r.n_entities) for r in su.replace_entities(nulls).collect()] == [(None, 0)] * 2
+    same = spark.createDataFrame([("phone", "5551234567"), ("secret", "5551234567"), ("card", "4111111111111111")], "kind string, canonical string")
+    drawn = su.draw_surrogates(same).collect()
+    assert {(r.kind, r.canonical) for r in drawn} == {tuple(r) for r in same.collect()} and len(drawn) == 3
+
+
 def test_iban_ends_where_its_country_says(spark):
     texts = [
         "ES9121000418450200051332 I said", "ES91 2100 0418 4502 0005 1332 A note", "ES9121000418450200051332 2024 was", "AT611904300234573201 UND",
