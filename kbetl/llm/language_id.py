@@ -6,8 +6,9 @@
    every counted gram, whatever their number: the broadcast grows with the distinct 4-grams of all languages.
 3. Every text is scored whole under every model. The language of the lowest cross-entropy a character wins;
    its share of the likelihood is the score.
-4. Rejection is calibrated on the labelled texts: for each language and length class, a threshold that all
-   but ``alpha`` of the texts of that language and length stay below.
+4. Rejection is calibrated on the labelled texts, leaving out one language at a time: for each language and length
+   class, the limit lies ``TOWARDS`` of the way from the cross-entropy that all but ``alpha`` of its own texts stay below
+   to the one that all but ``BETA`` of the texts of other languages exceed that come nearest to it.
 
 Characters are UTF-16 units, letters in lower case, everything else one space; so a 4-gram is exactly one
 64-bit word and looking a text up is array work without a Python loop over its characters.
@@ -15,8 +16,9 @@ Characters are UTF-16 units, letters in lower case, everything else one space; s
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -28,12 +30,16 @@ from .common import crc32_bucket, pick, table, written
 
 ORDER = 4
 UNIT = 16
-PIECE_CHARS = 1 << 20  # longer texts are scored in pieces of this many characters, and the pieces added up
+PIECE_CHARS = 1 << 18  # longer texts are read in pieces of this many characters, each with the units before it
 ALPHA = 0.0005
-MARGIN = 1.0  # nats a character above the calibrated threshold before a text is rejected
+BETA = 0.01
+TOWARDS = 0.15  # languages that aren't learned may be nearer than those that are, so most of the way is theirs
+LONE_MARGIN = 0.3  # nats a character above the own limit where there is no other language to calibrate by
+LEVELS = 41  # length classes: log2 of the length
 UNKNOWN = "und"
 _UNIFORM = 1.0 / (1 << UNIT)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 @lru_cache(maxsize=1)
@@ -54,30 +60,70 @@ def _one_unit(text: str) -> str:
     return "".join(c if c <= "\uffff" else chr(0xD800 + ord(c) % 2048) if c.isalpha() else " " for c in text)
 
 
-def _windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All 4-grams of the texts in a row, where each text's grams start and end."""
+_SPACES = np.full(ORDER - 1, ord(" "), np.uint16)
+
+
+def _units(text: str) -> np.ndarray:
+    """The folded UTF-16 units of a text."""
+    units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
+    if len(units) != len(text):
+        units = np.frombuffer(_one_unit(text).encode("utf-16-le", "surrogatepass"), np.uint16)
+    return _fold_table()[units]
+
+
+@dataclass(frozen=True)
+class _Piece:
+    """A text, or a part of one: the three units before it, and whether it ends its text."""
+
+    text: str
+    before: np.ndarray = field(default_factory=lambda: _SPACES)
+    last: bool = True
+
+    @property
+    def whole(self) -> bool:
+        return self.before is _SPACES and self.last
+
+    def after(self) -> np.ndarray:
+        """The three units before the next part."""
+        folded = _units(self.text)
+        blank = folded == ord(" ")
+        keep = ~blank
+        keep[1:] |= ~blank[:-1]
+        if len(keep):
+            keep[0] |= self.before[-1] != ord(" ")
+        return np.concatenate([self.before, folded[keep]])[-(ORDER - 1) :]
+
+
+def _windows(pieces: list[_Piece]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All 4-grams of the pieces in a row, where each piece's grams start and end."""
+    texts = [p.text for p in pieces]
     joined = "".join(texts)
     units = np.frombuffer(joined.encode("utf-16-le", "surrogatepass"), np.uint16)
     if len(units) != len(joined):
         texts = [_one_unit(t) for t in texts]
         units = np.frombuffer("".join(texts).encode("utf-16-le", "surrogatepass"), np.uint16)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    before, last = np.array([p.before for p in pieces]), np.array([p.last for p in pieces], np.int64)
     folded = _fold_table()[units]
     blank = folded == ord(" ")
     keep = ~blank
     keep[1:] |= ~blank[:-1]
     begins = np.cumsum(lengths) - lengths
     filled = begins[lengths > 0]
-    keep[filled] = ~blank[filled]
+    # One blank stands for all that follow one another, also over the start of a part.
+    keep[filled] = ~blank[filled] | (before[lengths > 0, -1] != ord(" "))
     kept_before = np.concatenate([[0], np.cumsum(keep)])
     kept = kept_before[begins + lengths] - kept_before[begins]
-    # Each text: three spaces, its letters, one space.
-    out = np.full(int(kept.sum()) + ORDER * len(texts), ord(" "), np.uint16)
-    at = np.arange(int(kept.sum())) + np.repeat(ORDER * np.arange(len(texts)) + ORDER - 1, kept)
+    # Each piece: three units before it (spaces before a text), its letters, one space behind a text.
+    sizes = kept + ORDER - 1 + last
+    first = np.cumsum(sizes) - sizes
+    out = np.full(int(sizes.sum()), ord(" "), np.uint16)
+    for k in range(ORDER - 1):
+        out[first + k] = before[:, k]
+    at = np.arange(int(kept.sum())) + np.repeat(first + ORDER - 1 - (np.cumsum(kept) - kept), kept)
     out[at] = folded[keep]
-    first = np.cumsum(kept + ORDER) - (kept + ORDER)
     grams = np.lib.stride_tricks.as_strided(out.view(np.uint8), (max(0, len(out) - 3), 8), (2, 1))
-    return np.ascontiguousarray(grams).view("<u8").ravel(), first, first + kept + 1
+    return np.ascontiguousarray(grams).view("<u8").ravel(), first, first + kept + last
 
 
 def _mixed(keys: np.ndarray) -> np.ndarray:
@@ -85,17 +131,21 @@ def _mixed(keys: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _groups(texts: pa.Array) -> Iterator[tuple[list[int], list[str]]]:
+def _groups(texts: pa.Array) -> Iterator[tuple[list[int], list[_Piece]]]:
     """Row numbers and pieces of text, about ``PIECE_CHARS`` characters at a time."""
     rows: list[int] = []
-    pieces: list[str] = []
+    pieces: list[_Piece] = []
     size = 0
     for row, value in enumerate(texts):
         text = value.as_py() or ""
-        for at in range(0, max(1, len(text)), PIECE_CHARS):
+        if len(text) <= PIECE_CHARS:
+            parts = [_Piece(text)]
+        else:
+            parts = _parts(text)
+        for piece in parts:
             rows.append(row)
-            pieces.append(text[at : at + PIECE_CHARS])
-            size += len(pieces[-1])
+            pieces.append(piece)
+            size += len(piece.text)
             if size >= PIECE_CHARS:
                 yield rows, pieces
                 rows, pieces, size = [], [], 0
@@ -103,6 +153,17 @@ def _groups(texts: pa.Array) -> Iterator[tuple[list[int], list[str]]]:
         yield rows, pieces
 
 
+def _parts(text: str) -> Iterator[_Piece]:
+    if not _LETTER.search(text):
+        yield _Piece("")
+        return
+    before = _SPACES
+    for at in range(0, len(text), PIECE_CHARS):
+        piece = _Piece(text[at : at + PIECE_CHARS], before, at + PIECE_CHARS >= len(text))
+        yield piece
+        before = before if piece.last else piece.after()
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """4-gram counts by language of one task's texts (columns lang, text)."""
     totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -123,7 +184,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, pieces in _groups(batch.column(1)):
             grams, starts, ends = _windows(pieces)
             for lang in {langs[r] for r in rows}:
-                own = [grams[a:b] for r, a, b in zip(rows, starts, ends, strict=True) if langs[r] == lang and b > a + 1]
+                # A whole text of one gram has no letter.
+                own = [grams[a:b] for r, p, a, b in zip(rows, pieces, starts, ends, strict=True) if langs[r] == lang and b > a + p.whole]
                 if not own:
                     continue
                 pending.setdefault(lang, []).extend(x.copy() for x in own)
@@ -234,17 +296,29 @@ def _predict(langs: list[str], shared):
                 # The last text's end is one past the last gram.
                 if ends[-1] > len(values) - 1:
                     sums[-1] = values[starts[-1] :].sum(axis=0, dtype=np.float64)
+                sums[ends == starts] = 0.0
                 np.add.at(total, rows, sums)
-                np.add.at(units, rows, np.where(ends - starts > 1, ends - starts, 0))
-            known = (units > 0) if langs else np.zeros(rows_in, bool)
+                np.add.at(units, rows, ends - starts)
+            known = (units > 1) if langs else np.zeros(rows_in, bool)
             n = np.maximum(units, 1)
             if langs:
                 best = total.argmax(axis=1)
                 top = total[np.arange(rows_in), best]
                 share = 1.0 / np.exp(total - top[:, None]).sum(axis=1)
                 names = np.array(langs, object)[best]
+                # What a labelled text would be taken for if its language weren't learned.
+                place = {lang: i for i, lang in enumerate(langs)}
+                label = np.array([place.get(x, -1) for x in batch.column(2).to_pylist()], np.int64)
+                labelled = np.flatnonzero(label >= 0) if len(langs) > 1 else np.empty(0, np.int64)
+                total[labelled, label[labelled]] = -np.inf
+                other = total.argmax(axis=1)
+                other_names, other_entropy = [None] * rows_in, np.full(rows_in, np.nan)
+                for i in labelled[known[labelled]].tolist():
+                    other_names[i] = langs[other[i]]
+                other_entropy[labelled] = -total[labelled, other[labelled]] / n[labelled]
             else:
                 top, share, names = np.zeros(rows_in), np.zeros(rows_in), np.full(rows_in, UNKNOWN, object)
+                other_names, other_entropy = [None] * rows_in, np.full(rows_in, np.nan)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -252,9 +326,11 @@ def _predict(langs: list[str], shared):
                     pa.array(np.where(known, share, 0.0)),
                     pa.array(np.where(known, -top / n, 0.0)),
                     pa.array(np.where(known, units, 0)),
+                    pa.array(other_names, pa.string()),
+                    pa.array(other_entropy),
                     *batch.columns[2:],
                 ],
-                ["doc_id", "lang_pred", "score", "cross_entropy", "units", *batch.schema.names[2:]],
+                ["doc_id", "lang_pred", "score", "cross_entropy", "units", "other", "other_entropy", *batch.schema.names[2:]],
             )
 
     return run
@@ -270,24 +346,42 @@ def fit_models(labelled: DataFrame) -> dict[str, KneserNey]:
     return {lang: KneserNey.fit(keys[langs == lang], n[langs == lang]) for lang in sorted(set(langs))}
 
 
-def thresholds(scored: DataFrame, alpha: float = ALPHA) -> dict[str, list[float]]:
-    """For each language the limit of the cross-entropy by length class (log2 of the length, 0 to 40).
-
-    ``scored`` holds labelled rows: ``lang, cross_entropy, units``. Longer texts vary less, so a limit is
-    never below that of a longer class; classes without texts take the limit of the next longer one.
-    """
-    level = F.least(F.floor(F.log2("units")).cast("int"), F.lit(40))
+def _quantiles(scored: DataFrame, lang: str, entropy: str, share: float) -> dict[str, dict[int, float]]:
+    """By language and length class; as many rows as there are of both."""
+    level = F.least(F.floor(F.log2("units")).cast("int"), F.lit(LEVELS - 1)).alias("level")
     found: dict[str, dict[int, float]] = {}
-    by = scored.where("units > 0").groupBy("lang", level.alias("level"))
-    for r in by.agg(F.percentile_approx("cross_entropy", 1 - alpha, 10000).alias("limit")).collect():
+    for r in scored.groupBy(F.col(lang).alias("lang"), level).agg(F.percentile_approx(entropy, share, 10000).alias("limit")).collect():
         found.setdefault(r.lang, {})[r.level] = r.limit
+    return found
+
+
+def thresholds(scored: DataFrame, alpha: float = ALPHA, beta: float = BETA) -> dict[str, list[float]]:
+    """For each language the limit of the cross-entropy by length class.
+
+    ``scored`` holds labelled rows: ``lang, lang_pred, cross_entropy, units, other, other_entropy``. The limit is
+    ``TOWARDS`` of the way from the quantile of the language's own texts to the low one of texts of other languages that
+    come nearest to it when their own is left out; where the two overlap it is the first. Longer texts vary less, so the
+    first is never below that of a longer class and the second never below that of a shorter one; classes without texts
+    take those. A language that no other text comes nearest to has a margin of ``LONE_MARGIN``.
+    """
+    some = scored.where("units > 0")
+    own = _quantiles(some.where("lang = lang_pred"), "lang", "cross_entropy", 1 - alpha)
+    others = _quantiles(some.where("other is not null"), "other", "other_entropy", beta)
     out = {}
-    for lang, limits in found.items():
-        running, row = 0.0, [0.0] * 41
-        for k in range(40, -1, -1):
+    for lang, limits in own.items():
+        running, row = 0.0, [0.0] * LEVELS
+        for k in range(LEVELS - 1, -1, -1):
             running = row[k] = max(running, limits.get(k, 0.0))
         longest = max(limits)
-        out[lang] = [limits[longest] if k > longest else x for k, x in enumerate(row)]
+        row = [limits[longest] if k > longest else x for k, x in enumerate(row)]
+        if lang in others:
+            near = 0.0
+            for k in range(LEVELS):
+                near = max(near, others[lang].get(k, 0.0))
+                row[k] += max(0.0, near - row[k]) * TOWARDS
+        else:
+            row = [x + LONE_MARGIN for x in row]
+        out[lang] = row
     return out
 
 
@@ -298,7 +392,7 @@ def identify(
     text_col: str = "text",
     lang_col: str = "lang",
     alpha: float = ALPHA,
-    margin: float = MARGIN,
+    beta: float = BETA,
 ) -> DataFrame:
     """One row per document: ``doc_id, lang_pred, score, cross_entropy, units, rejected, learned, text_key``.
 
@@ -316,16 +410,16 @@ def identify(
     key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
     marked = rows.select("doc_id", "text", "lang", F.coalesce(learn, F.lit(False)).alias("learned"), key)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, lang_pred string, score double, cross_entropy double, units long, lang string, learned boolean, text_key long"
+    schema = f"doc_id {kind}, lang_pred string, score double, cross_entropy double, units long, other string, other_entropy double, lang string, learned boolean, text_key long"
     scored = written(marked.mapInArrow(_predict(langs, shared), schema), "lang-scores")
     shared.unpersist()
-    limits = thresholds(scored.where("learned and lang = lang_pred"), alpha)
+    limits = thresholds(scored.where("learned"), alpha, beta)
     too_far = F.lit(False)
     if limits:
-        level = F.least(F.floor(F.log2(F.greatest("units", F.lit(1)))).cast("int"), F.lit(40))
+        level = F.least(F.floor(F.log2(F.greatest("units", F.lit(1)))).cast("int"), F.lit(LEVELS - 1))
         rows_of = F.create_map(*(x for k, v in sorted(limits.items()) for x in (F.lit(k), F.array(*map(F.lit, v)))))
         limit = F.element_at(F.try_element_at(rows_of, F.col("lang_pred")), level + 1)
-        too_far = F.coalesce(F.col("cross_entropy") > limit + margin, F.lit(False))
+        too_far = F.coalesce(F.col("cross_entropy") > limit, F.lit(False))
     rejected = ((F.col("lang_pred") == UNKNOWN) | too_far).alias("rejected")
     return scored.select("doc_id", "lang_pred", "score", "cross_entropy", "units", rejected, "learned", "text_key")
 
