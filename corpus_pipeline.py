@@ -31,8 +31,12 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become surrogates; ``n_chars`` follows the text."""
     replaced = replace_entities(docs)
-    n_chars = F.when(F.col("n_entities") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return replaced.select(*(n_chars.cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    # By place: further columns may have any names.
+    names, places = docs.columns, [f"_{i}" for i in range(len(replaced.columns))]
+    n_chars, text, n_entities = places[names.index("n_chars")], places[names.index("text")], places[-2]
+    followed = F.when(F.col(n_entities) > 0, F.length(text)).otherwise(F.col(n_chars)).cast(docs.schema[names.index("n_chars")].dataType)
+    kept = (followed.alias(p) if p == n_chars else F.col(p) for p in places[: len(names)])
+    return replaced.toDF(*places).select(*kept).toDF(*names)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
