@@ -4,12 +4,13 @@
 2. The ``MODELLED`` most frequent tokens are symbols of the network, in classes of about equal root frequency.
    All others, unknown ones included, stand for one of ``TAIL_SYMBOLS`` symbols by a hash of their ending, which
    form a class of their own; inside such a symbol a token has its share of the counts, plus one.
-3. The network learns from every text once, in rounds of growing size. In a round each task trains on its own
+3. Every text becomes its symbols once, in a written table with a folder for each round of learning. Frequent tokens
+   are looked up in a table of at most ``DICTIONARY`` entries; the others meet their counts in one join of token lists
+   with the table of counts and come back as sums by document.
+4. The network learns from every text once, in rounds of growing size. In a round each task trains on its own
    texts from the common weights; the weights are averaged in a tree of grouped sums, and only the average, of a
    size that doesn't depend on the corpus, comes to the driver.
-4. Every text is scored whole, with the state carried from its first token to its end. Frequent tokens are
-   looked up in a table of at most ``DICTIONARY`` entries; the others meet their counts in one join of token
-   lists with the table of counts and come back as sums by document.
+5. Every text is scored whole, with the state carried from its first token to its end.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from .common import crc32_bucket, pick, table, written
 from .gated_lm import GatedLM
 
@@ -35,7 +37,8 @@ WORD_CLASSES = 32
 TAIL_SYMBOLS = 64
 ENDING_BYTES = 3
 END = ""  # no word is empty: stands for the end of a text
-GROUP_TOKENS = 4_000_000  # tokens dealt to lanes at once
+GROUP_TOKENS = 2_000_000  # tokens dealt to lanes at once
+SYMBOL = "<u2"  # how a symbol is written; there are fewer than 65,536
 COUNTED_WORDS = 500_000
 # Sixteenths of the texts in each round: the later ones start from better weights.
 ROUNDS = ((0,), (1,), (2, 3), (4, 5, 6, 7), (8, 9, 10, 11, 12, 13, 14, 15))
@@ -148,17 +151,70 @@ def _places(text: bytes | None, index: _Index) -> tuple[np.ndarray, list[bytes]]
     return np.fromiter(map(index.__getitem__, words), np.int32, len(words)), words
 
 
-def _train(shared, vocabulary_shared):
+def _tokenised(vocabulary_shared):
+    """Symbols of each text, and what its tokens have besides the network's part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = vocabulary_shared.value
+        index, symbols = vocabulary.index
+        written_symbols, size_of_index, everything = symbols.astype(SYMBOL), len(vocabulary.words), vocabulary.tokens + vocabulary.kinds + 1
+        base = np.log10((vocabulary.counts + 1) / everything)
+        # What a dictionary word that isn't a symbol of its own has inside its tail symbol.
+        inside = np.log10((vocabulary.counts + 1) / vocabulary.tail_sums[[_tail(w) for w in vocabulary.words]]) if vocabulary.words else base
+        inside[: vocabulary.modelled] = 0.0
+        base, inside = (np.concatenate([x, np.zeros(TAIL_SYMBOLS)]) for x in (base, inside))
+        seen = 0
+        for batch in batches:
+            uids, lengths, known, bases, insides, tails, coded = [], [], [], [], [], [], []
+            for text, task in zip(batch.column(1).cast(pa.binary()), batch.column(2).to_pylist(), strict=True):
+                places, words = _places(text.as_py(), index)
+                rare = np.flatnonzero(places >= size_of_index).tolist()
+                uids.append((task << 33) + seen)
+                seen += 1
+                lengths.append(len(places))
+                known.append(len(places) - len(rare))
+                bases.append(base[places].sum())
+                insides.append(inside[places].sum())
+                tails.append([words[i] for i in rare])
+                coded.append(written_symbols[places].tobytes())
+            numbers = [pa.array(x, pa.int64()) for x in (uids, lengths, known)]
+            sums = [pa.array(x, pa.float64()) for x in (bases, insides)]
+            tail = pa.array(tails, pa.list_(pa.binary())).cast(pa.list_(pa.string()))
+            columns = [batch.column(0), batch.column(3), *numbers, *sums, tail, pa.array(coded, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "round", "uid", "n_tokens", "known", "base", "inside", "tail", "symbols"])
+
+    return run
+
+
+def tokenise(rows: DataFrame, learn: Column, vocabulary_shared) -> DataFrame:
+    """Every text of ``doc_id, text`` once as symbols: a written table with a folder for each round (-1: not learned)."""
+    turn = F.pmod(F.xxhash64("doc_id", F.lit("turn")), F.lit(16))
+    number = F.lit(-1)
+    for k, turns in enumerate(ROUNDS):
+        number = F.when(learn & turn.isin(*turns), k).otherwise(number)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, round int, uid long, n_tokens long, known long, base double, inside double, tail array<string>, symbols binary"
+    marked = rows.select("doc_id", "text", F.spark_partition_id().cast("long").alias("task"), number.alias("round"))
+    coded = marked.mapInArrow(_tokenised(vocabulary_shared), schema)
+    path = scratch_dir(rows.sparkSession, "lm-symbols")
+    coded.write.partitionBy("round").parquet(path)
+    return rows.sparkSession.read.schema(coded.schema).parquet(path)
+
+
+def _symbols(values: pa.Array) -> Iterator[np.ndarray]:
+    return (np.frombuffer(v.as_buffer(), SYMBOL).astype(np.int32) for v in values)
+
+
+def _train(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: GatedLM = shared.value
         model = model.with_vector(model.vector())  # the broadcast object stays as it is
-        index, symbols = vocabulary_shared.value.index
         waiting: list[np.ndarray] = []
         size = learned = 0
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()):
-                waiting.append(symbols[_places(text.as_py(), index)[0]])
-                size += len(waiting[-1])
+            for text in _symbols(batch.column(0)):
+                waiting.append(text)
+                size += len(text)
                 if size >= GROUP_TOKENS:
                     learned += model.train(waiting)
                     waiting, size = [], 0
@@ -180,15 +236,15 @@ def _sum_vectors(group: pa.Table) -> pa.Table:
     return pa.table([group.column("part").slice(0, 1), pa.array([weight], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "weight", "vector"])
 
 
-def train_model(texts: DataFrame, vocabulary: Vocabulary, vocabulary_shared) -> GatedLM:
-    """The network after one pass over the texts of ``text, turn`` (0 to 15: when a text's turn comes)."""
+def train_model(texts: DataFrame, vocabulary: Vocabulary) -> GatedLM:
+    """The network after one pass over the texts of ``symbols, round``."""
     sc = texts.sparkSession.sparkContext
     counts = np.concatenate([vocabulary.counts[: vocabulary.modelled], vocabulary.tail_counts])
     model = GatedLM.start(counts, vocabulary.bounds())
     schema = "part int, weight long, vector binary"
-    for turns in ROUNDS:
+    for k in range(len(ROUNDS)):
         shared = sc.broadcast(model)
-        trained = texts.where(F.col("turn").isin(*turns)).select("text").mapInArrow(_train(shared, vocabulary_shared), schema)
+        trained = texts.where(F.col("round") == k).select("symbols").mapInArrow(_train(shared), schema)
         trained = written(trained.withColumn("salt", F.spark_partition_id()), "lm-weights")
         salts = max(1, math.isqrt(trained.select("salt").distinct().count()))
         some = trained.withColumn("salt", F.col("salt") % salts).groupBy("part", "salt").applyInArrow(_sum_vectors, schema)
@@ -199,51 +255,41 @@ def train_model(texts: DataFrame, vocabulary: Vocabulary, vocabulary_shared) ->
     return model
 
 
-def _score(shared, vocabulary_shared):
+def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, vocabulary = shared.value, vocabulary_shared.value
-        index, symbols = vocabulary.index
-        size_of_index, everything = len(vocabulary.words), vocabulary.tokens + vocabulary.kinds + 1
-        base = np.log10((vocabulary.counts + 1) / everything)
-        # What a dictionary word that isn't a symbol of its own has inside its tail symbol.
-        inside = np.log10((vocabulary.counts + 1) / vocabulary.tail_sums[[_tail(w) for w in vocabulary.words]]) if vocabulary.words else base
-        inside[: vocabulary.modelled] = 0.0
-        base, inside = (np.concatenate([x, np.zeros(TAIL_SYMBOLS)]) for x in (base, inside))
-        seen = 0
-        rows: list[tuple] = []
+        model: GatedLM = shared.value
+        held: list[pa.RecordBatch] = []
         texts: list[np.ndarray] = []
         waiting = 0
 
-        def settle(like: pa.Schema) -> Iterator[pa.RecordBatch]:
+        def settle() -> Iterator[pa.RecordBatch]:
             scores = model.score(texts) / math.log(10)
-            ids, uids, lengths, known, bases, insides, tails = zip(*rows, strict=True)
-            for at in range(0, len(rows), 4096):
-                part = slice(at, at + 4096)
-                columns = [
-                    pa.array(ids[part], like.field(0).type),
-                    *(pa.array(x[part], pa.int64()) for x in (uids, lengths, known)),
-                    pa.array(bases[part], pa.float64()),
-                    pa.array(scores[part] + np.array(insides[part])),
-                    pa.array(tails[part], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "uid", "n_tokens", "known", "base", "own", "tail"])
-            rows.clear()
+            at = 0
+            for b in held:
+                own = scores[at : at + b.num_rows] + b.column("inside").to_numpy()
+                at += b.num_rows
+                columns = [*(b.column(c) for c in ("doc_id", "uid", "n_tokens", "known", "base")), pa.array(own)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "uid", "n_tokens", "known", "base", "own"])
+            held.clear()
             texts.clear()
 
         for batch in batches:
-            ids, tasks = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for doc_id, text, task in zip(ids, batch.column(1).cast(pa.binary()), tasks, strict=True):
-                places, words = _places(text.as_py(), index)
-                rare = np.flatnonzero(places >= size_of_index).tolist()
-                texts.append(symbols[places])
-                rows.append((doc_id, (task << 33) + seen, len(places), len(places) - len(rare), base[places].sum(), inside[places].sum(), [words[i] for i in rare]))
-                seen += 1
-                waiting += len(places)
-                if waiting >= GROUP_TOKENS:
-                    yield from settle(batch.schema)
+            # Parts of a batch, so that no more than about a group of tokens waits.
+            ends = np.cumsum(batch.column("n_tokens").to_numpy())
+            start = 0
+            while start < batch.num_rows:
+                done = int(ends[start - 1]) if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, done + GROUP_TOKENS - waiting, "right")))
+                part = batch.slice(start, stop - start)
+                texts.extend(_symbols(part.column("symbols")))
+                held.append(part)
+                waiting += int(ends[stop - 1]) - done
+                start = stop
+                if waiting >= GROUP_TOKENS or stop < batch.num_rows:
+                    yield from settle()
                     waiting = 0
-        if rows:
-            yield from settle(batch.schema)
+        if held:
+            yield from settle()
 
     return run
 
@@ -266,24 +312,22 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     counts = written(token_counts(learned.select("text")), "lm-counts")
     vocabulary = collect_vocabulary(counts)
     vocabulary_shared = sc.broadcast(vocabulary)
-    turn = F.pmod(F.xxhash64("doc_id", F.lit("turn")), F.lit(16)).cast("int").alias("turn")
-    model = train_model(learned.select("text", turn), vocabulary, vocabulary_shared)
-    shared = sc.broadcast(model)
+    coded = tokenise(rows, F.coalesce(learn, F.lit(False)), vocabulary_shared)
+    shared = sc.broadcast(train_model(coded.select("symbols", "round"), vocabulary))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, uid long, n_tokens long, known long, base double, own double, tail array<string>"
-    marked = rows.select("doc_id", "text", F.spark_partition_id().cast("long").alias("task"))
-    scored = written(marked.mapInArrow(_score(shared, vocabulary_shared), schema), "lm-scored")
+    schema = f"doc_id {kind}, uid long, n_tokens long, known long, base double, own double"
+    scored = written(coded.drop("round", "tail").mapInArrow(_score(shared), schema), "lm-scored")
     everything = float(vocabulary.tokens + vocabulary.kinds + 1)
     sums = F.element_at(F.array(*(F.lit(float(z)) for z in vocabulary.tail_sums)), _tail_column(F.col("token")) + 1)
     more = F.coalesce("n", F.lit(0)) + 1.0
     rare = (
-        scored.select("uid", F.explode("tail").alias("token"))
+        coded.select("uid", F.explode("tail").alias("token"))
         .join(counts, "token", "left")
         .groupBy("uid")
         .agg(F.count("n").alias("rare_known"), F.sum(F.log10(more / everything)).alias("rare_base"), F.sum(F.log10(more / sums)).alias("rare_own"))
     )
     none = F.lit(0.0)
-    return scored.drop("tail").join(rare, "uid", "left").select(
+    return scored.join(rare, "uid", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
