@@ -23,16 +23,15 @@ from .common import keep_rows, pick, table, written
 from .quotient_filter import CountingQuotientFilter
 
 FINGERPRINTS_PER_SHARD = 1 << 20
-SLOTS_PER_RUN_BITS = 2  # about four documents for each quotient
 
 
-def _build(quotient_bits: int, shard_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _build(shard_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = CountingQuotientFilter.build(np.empty(0, np.uint64), quotient_bits)
+        own = CountingQuotientFilter.build(np.empty(0, np.uint64))
         pending: list[CountingQuotientFilter] = []
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            pending.append(CountingQuotientFilter.build(values, quotient_bits))
+            pending.append(CountingQuotientFilter.build(values))
             if len(pending) == 64:
                 own, pending = CountingQuotientFilter.merge([own, *pending]), []
         for shard, part in CountingQuotientFilter.merge([own, *pending]).split(shard_bits).items():
@@ -50,8 +49,7 @@ def _repeated(pieces: pa.Table) -> pa.Table:
 def repeated_fingerprints(fingerprints: DataFrame, n_rows: int) -> DataFrame:
     """The values of the one long column ``fp`` that occur more than once."""
     shard_bits = max(0, (n_rows // FINGERPRINTS_PER_SHARD).bit_length())
-    quotient_bits = min(48, max(1, shard_bits, n_rows.bit_length() - SLOTS_PER_RUN_BITS))
-    pieces = fingerprints.mapInArrow(_build(quotient_bits, shard_bits), "shard long, filter binary")
+    pieces = fingerprints.mapInArrow(_build(shard_bits), "shard long, filter binary")
     return pieces.groupBy("shard").applyInArrow(_repeated, "fp long")
 
 

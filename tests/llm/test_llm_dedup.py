@@ -2,15 +2,17 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from kbetl.llm import simhash as sh
 from kbetl.llm.common import pick
 from kbetl.llm.components import component_roots
-from kbetl.llm.exact_dedup import exact_dedup, keep_one
+from kbetl.llm.exact_dedup import FINGERPRINTS_PER_SHARD, _build, exact_dedup, keep_one
 from kbetl.llm.quotient_filter import CountingQuotientFilter
 
 SCHEMA = "doc_id long, text string, DOC_ID string, fp string"
@@ -24,7 +26,7 @@ def test_quotient_filters_merge_without_loss():
     random.seed(5)
     values = np.array([random.getrandbits(64) >> random.choice([0, 30]) for _ in range(3000)] * 2 + [0, 2**64 - 1], np.uint64)
     parts = np.array_split(values, 7)
-    built = [CountingQuotientFilter.build(p, 9) for p in [*parts, np.empty(0, np.uint64)]]
+    built = [CountingQuotientFilter.build(p) for p in [*parts, np.empty(0, np.uint64)]]
     merged = CountingQuotientFilter.merge([CountingQuotientFilter.from_bytes(f.to_bytes()) for f in built])
     want, counts = np.unique(values, return_counts=True)
     assert (merged.fingerprints() == want).all() and (merged.counts == counts).all()
@@ -32,8 +34,25 @@ def test_quotient_filters_merge_without_loss():
     assert CountingQuotientFilter.merge(built[-1:]).split(3) == {}
     shards = merged.split(3)
     assert np.array_equal(np.concatenate([shards[k].fingerprints() for k in sorted(shards)]), want)
-    with pytest.raises(ValueError):
-        CountingQuotientFilter.merge([built[0], CountingQuotientFilter.build(parts[0], 8)])
+    # Filters of other sizes and of parts of the range are cut anew.
+    again = CountingQuotientFilter.merge([CountingQuotientFilter.from_bytes(f.to_bytes()) for f in shards.values()])
+    assert np.array_equal(again.fingerprints(), want) and np.array_equal(again.counts, counts)
+
+
+def test_filters_are_as_large_as_their_rows():
+    """A task's filter and its pieces when the whole table has 2**34 rows."""
+    rows, shard_bits = 400_000, ((1 << 34) // FINGERPRINTS_PER_SHARD).bit_length()
+    values = np.random.default_rng(1).integers(0, 1 << 63, rows, dtype=np.uint64) * 2
+    batches = (pa.RecordBatch.from_arrays([pa.array(x.view(np.int64))], ["fp"]) for x in np.array_split(values, 40))
+    tracemalloc.start()
+    pieces = [(b.column(0)[0].as_py(), b.column(1)[0].as_py()) for b in _build(shard_bits)(batches)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and len(pieces) > 30_000
+    assert sum(len(data) for _, data in pieces) < 2 * 8 * rows
+    found = [CountingQuotientFilter.from_bytes(data) for _, data in pieces]
+    assert all(int(f.fingerprints()[0]) >> (64 - shard_bits) == k and len(f.occupied) <= 2 * len(f.counts) + 2 for (k, _), f in zip(pieces, found))
+    assert np.array_equal(np.concatenate([f.fingerprints() for f in found]), np.unique(values))
 
 
 def test_exact_dedup_edge_cases(spark):
