@@ -9,9 +9,8 @@ reversed-host form of their address (range partitioning; the id is part of the k
 packed into compressed blocks of ``BLOCK_ENTRIES`` and written. The block directory holds each block's first key.
 
 Lookup: a key is searched by bisection in a top level of at most ``TOP_ENTRIES`` keys (the only thing sent to all
-tasks), then in the part of the directory below it, then in the blocks found. Of the segments only those with a
-wanted record are read: ``read_records`` cuts the wanted ranges out of them, ``describe_records`` checks many records
-where they are and moves no payload.
+tasks), then in the part of the directory below it, then in the blocks found. Then only the ranges found are read:
+tasks get them by stretches of a segment and read each by its place, near ones at once; no segment is read as a whole.
 """
 
 from __future__ import annotations
@@ -33,7 +32,10 @@ MIN_REVISIT_BYTES = 100
 SEGMENT_BYTES = 32 << 20
 BLOCK_ENTRIES = 1000
 TOP_ENTRIES = 1 << 16
-LISTED_SEGMENTS = 10_000  # up to so many wanted segments are named to the reader; beyond, it reads the archive
+NEAR_BYTES = 1 << 16  # ranges that are no farther apart are read at once,
+READ_BYTES = 8 << 20  # up to so much
+# Schemes of the Hadoop client and the names the range reader has for them.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
 _CRLF = "\r\n"
 _GAP = "\r\n\r\n"
 
@@ -167,11 +169,9 @@ class CaptureIndex:
     top: list[tuple[bytes, int]]  # first key and number of the groups' first blocks
 
 
-def segments(spark: SparkSession, archive: str, names: list[str] | None = None) -> DataFrame:
-    """``path, content`` of all or the named segments."""
-    reader = spark.read.format("binaryFile")
-    found = reader.load([f"{archive}/{n}" for n in names]) if names is not None else reader.option("pathGlobFilter", "part-*").load(archive)
-    return found.select("path", "content")
+def segments(spark: SparkSession, archive: str) -> DataFrame:
+    """``path, content`` of all segments."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(archive).select("path", "content")
 
 
 def build_index(spark: SparkSession, archive: str, block_entries: int = BLOCK_ENTRIES) -> CaptureIndex:
@@ -255,48 +255,70 @@ _RECORD_KINDS = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(),
 _RECORD_NAMES = ["page", "url", "record_type", "refers_to", "payload_bytes", "payload_digest"]
 
 
-def _all_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segment, place and description of every record of the segments (columns path, content)."""
-    for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            data = memoryview(content.as_buffer())
-            rows, at = [], 0
-            while at < len(data):
-                fields, start = _header(data, at)
-                end = start + int(fields["Content-Length"])
-                rows.append((path.rsplit("/", 1)[-1], at, *_record(data, at, end - at)[:-1]))
-                at = end + len(_GAP)
-            columns = zip(*rows, strict=True) if rows else [()] * 8
-            arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), *_RECORD_KINDS), strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["segment", "at", *_RECORD_NAMES])
+def _stretches(places: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """Ranges in order, together where they are near one another: what is read at once."""
+    part: list[tuple[int, int]] = []
+    for at, length in places:
+        if part and (at - sum(part[-1]) > NEAR_BYTES or at + length - part[0][0] > READ_BYTES):
+            yield part
+            part = []
+        part.append((at, length))
+    if part:
+        yield part
 
 
-def _wanted_segments(spark: SparkSession, archive: str, located: DataFrame) -> DataFrame:
-    names = [r.segment for r in located.select("segment").distinct().limit(LISTED_SEGMENTS + 1).collect()]
-    return segments(spark, archive, names if 0 < len(names) <= LISTED_SEGMENTS else None)
+def _open_archive(archive: str):
+    """The file system client of an archive's scheme and the archive's place in it."""
+    from pyarrow import fs
+
+    scheme, colon, rest = archive.partition(":")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}" if colon else archive)
+
+
+def _read(spark: SparkSession, archive: str, located: DataFrame, payload: bool) -> DataFrame:
+    names = [*_RECORD_NAMES, "payload"][: len(_RECORD_NAMES) + payload]
+    kinds = (*_RECORD_KINDS, pa.binary())[: len(names)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = _open_archive(archive)
+        name = file = None
+        try:
+            for batch in batches:
+                by_segment: dict[str, list[tuple[int, int]]] = {}
+                for segment, at, length in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
+                    by_segment.setdefault(segment, []).append((at, length))
+                for segment, places in by_segment.items():
+                    if segment != name:
+                        if file is not None:
+                            file.close()
+                        name, file = segment, system.open_input_file(f"{base}/{segment}")
+                    for part in _stretches(sorted(places)):
+                        first = part[0][0]
+                        data = memoryview(file.read_at(sum(part[-1]) - first, first))
+                        rows = [_record(data, at - first, length)[: len(names)] for at, length in part]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        finally:
+            if file is not None:
+                file.close()
+
+    # A segment's wanted ranges go to tasks by stretches of it, in order; a hot segment is many tasks' work.
+    dealt = located.select("segment", "at", "length", F.floor(F.col("at") / SEGMENT_BYTES).alias("stretch"))
+    ordered = dealt.repartition("segment", "stretch").sortWithinPartitions("segment", "at")
+    return ordered.mapInArrow(run, _RECORD + ", payload binary" * payload)
 
 
 def describe_records(spark: SparkSession, archive: str, located: DataFrame) -> DataFrame:
     """``page, url, record_type, refers_to, payload_bytes, payload_digest`` of the records at the given places.
 
-    For many records: payloads are read and their digests checked where their segment is read, and never shuffled.
-    A revisit's size and digest are those its header gives.
+    Only the located ranges of the segments are read. Payloads are read and their digests checked in the task that
+    reads them, and never shuffled. A revisit's size and digest are those its header gives.
     """
-    found = _wanted_segments(spark, archive, located).mapInArrow(_all_records, f"segment string, at long, {_RECORD}")
-    return found.join(located.select("segment", "at"), ["segment", "at"], "left_semi").drop("segment", "at")
+    return _read(spark, archive, located, False)
 
 
 def read_records(spark: SparkSession, archive: str, located: DataFrame) -> DataFrame:
-    """As :func:`describe_records`, with the ``payload`` (null for a revisit); only the wanted ranges are parsed."""
-    named = _wanted_segments(spark, archive, located).select(F.element_at(F.split("path", "/"), -1).alias("segment"), "content")
-
-    def cut(wanted: pa.Table, segment: pa.Table) -> pa.Table:
-        places = list(zip(wanted.column("at").to_pylist(), wanted.column("length").to_pylist(), strict=True))
-        rows = [_record(memoryview(content.as_buffer()), at, length) for content in segment.column("content") for at, length in places]
-        columns = zip(*rows, strict=True) if rows else [()] * 7
-        return pa.table([pa.array(c, k) for c, k in zip(columns, (*_RECORD_KINDS, pa.binary()), strict=True)], names=[*_RECORD_NAMES, "payload"])
-
-    return located.groupBy("segment").cogroup(named.groupBy("segment")).applyInArrow(cut, f"{_RECORD}, payload binary")
+    """As :func:`describe_records`, with the ``payload`` (null for a revisit)."""
+    return _read(spark, archive, located, True)
 
 
 def archive_pages(

@@ -171,6 +171,45 @@ def test_pipeline(spark, tmp_path):
     assert {(x.doc_id, x.length) for x in packed} == want
 
 
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Null ids and texts, repeated rows, a very long text, further columns of other names, and an empty table."""
+    r = random.Random(9)
+    words = "the of and to in that was his with for had you not be her on at by which have".split()
+    text = lambda k: " ".join(r.choices(words, k=k))
+    rows = [(i, text(60), "en") for i in range(30)] + [(None, text(60), "en"), (None, None, None), (7, text(50), None), (40, text(120_000), "en")]
+    rows += [rows[2], rows[2], (None, rows[3][1], "en")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_entities int, kinds string, piece string"
+    docs = spark.createDataFrame([(i, t, g, "s", len(t or ""), 1, "k", "p") for i, t, g in rows], schema)
+    for name, table_ in (("some", docs), ("none", docs.limit(0))):
+        table_.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    at = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        at = stage(spark, at, str(tmp_path))
+        assert at.columns == docs.columns and {(x.n_entities, x.kinds, x.piece) for x in at.collect()} == {(1, "k", "p")}
+    kept = [x.doc_id for x in at.collect()]
+    assert sorted(i for i in kept if i is not None) == sorted([*range(30), 7, 40]) and kept.count(None) == 1  # two texts have id 7
+    packed = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert {x.doc_id for x in packed} == set(kept) and max(x.piece for x in packed if x.doc_id == 40) > 50
+    # No piece overlaps another in its sequence, and none is left out.
+    used = collections.defaultdict(list)
+    for x in packed:
+        used[x.sequence_id].append((x.offset, x.length))
+    for places in used.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_near_ranges_are_read_at_once():
+    near, far = warc.NEAR_BYTES, warc.READ_BYTES
+    places = [(0, 10), (14, 10), (24 + near, 5), (30 + 2 * near, 5), (40 + 2 * near, far)]
+    assert list(warc._stretches(places)) == [places[:3], places[3:4], places[4:]]
+    assert list(warc._stretches([])) == []
+
+
 def test_warc_finds_addresses_with_blanks_in_the_host(spark, tmp_path):
     urls = [" http://a.com/x", "http://a.com ", "http://a.com\n", "\thttp://a.com", "http://a b.com/y z", "\r\nhttp://a.com:80/#f g", " ", None, "http://a.com/x"]
     spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
