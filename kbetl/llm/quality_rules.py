@@ -49,7 +49,8 @@ RULES: dict[str, Callable[[], Column]] = {
     "windows": lambda: _votes(F.col("n_repeat_words") == 0, _share("n_repeat_words", "n_words") > 0.2),
     "capitals": lambda: _votes(_share("n_capitals", "word_chars") < 0.1, _share("n_capitals", "word_chars") > 0.3),
     "ending": lambda: _votes(F.col("ends_sentence"), F.lit(False)),
-    "variety": lambda: _votes(_share("n_kinds", "n_words") > 0.3, (_share("n_kinds", "n_words") < 0.15) & (F.col("n_words") < 2000)),
+    # Distinct words grow about with the root of the words, so this holds for texts of any length.
+    "variety": lambda: _votes(F.col("n_kinds") > 4 * F.sqrt("n_words"), F.col("n_kinds") < 1.5 * F.sqrt("n_words")),
 }
 
 
@@ -120,6 +121,14 @@ class LabelModel:
                 log_odds += math.log(1 - on_good) - math.log(on_bad)
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, log_odds))))
 
+    def posterior_of(self, votes: list[Column]) -> Column:
+        """The same as an expression: one term a rule, however many vote patterns there are."""
+        log_odds = F.lit(math.log(self.good) - math.log1p(-self.good))
+        for vote, (on_good, on_bad) in zip(votes, self.right, strict=False):
+            good, bad = math.log(on_good) - math.log(1 - on_bad), math.log(1 - on_good) - math.log(on_bad)
+            log_odds = log_odds + F.when(vote == _GOOD, good).when(vote == _BAD, bad).otherwise(0.0)
+        return 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), log_odds))))
+
 
 def fit_label_model(patterns: dict[tuple[int, ...], int], rounds: int = 200, tolerance: float = 1e-9) -> LabelModel:
     """Expectation-maximisation over vote patterns and their numbers, with one pseudo-vote each way.
@@ -170,12 +179,10 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     numbers = {r.code: r.n for r in voted.groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n")).collect()}
     patterns = {tuple(c // 3**i % 3 for i in range(len(votes))): n for c, n in numbers.items()}
     model = fit_label_model(patterns)
-    posterior = {c: model.posterior([c // 3**i % 3 for i in range(len(votes))]) for c in numbers}
-    known = F.create_map(*(F.lit(x) for c in sorted(posterior) for x in (c, posterior[c]))) if posterior else F.lit(None).cast("map<int,double>")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     return (
         voted.withColumn("base_failed", failed)
-        .withColumn("posterior", F.element_at(known, code))
+        .withColumn("posterior", model.posterior_of([F.col(v) for v in votes]))
         .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= keep_at))
     )
 
