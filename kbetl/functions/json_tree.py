@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import sys
 import xml.etree.ElementTree as ET
+from array import array
 
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
@@ -54,6 +55,24 @@ def _members(entry: ET.Element, blob: str, standard: bool) -> list[ET.Element]:
     return list(entry.iter(f"{ns}evidence"))
 
 
+class Texts:
+    """A string array in the making. A text is kept as its UTF-8 alone, in the array's own buffer, so a batch holds no
+    Python strings and no second copy of its output."""
+
+    def __init__(self) -> None:
+        self.data, self.ends, self.valid = bytearray(), array("i", [0]), []
+
+    def append(self, text: str | None) -> None:
+        if text is not None:
+            self.data += text.encode()
+        self.ends.append(len(self.data))
+        self.valid.append(text is not None)
+
+    def finish(self) -> pa.Array:
+        valid = pa.array(self.valid, pa.bool_()).buffers()[1]
+        return pa.StringArray.from_buffers(len(self.valid), pa.py_buffer(self.ends), pa.py_buffer(self.data), valid)
+
+
 def _to_json(elements: list[ET.Element]) -> str | None:
     return _encode([tree(el) for el in elements]) if elements else None
 
@@ -78,7 +97,7 @@ def entry_blobs(raw: Column, profile: str, blobs: tuple[str, ...] = BLOBS, names
 
     @F.arrow_udf(", ".join(f"{b} string" for b in blobs) + ", broken boolean")
     def parse(batch: pa.Array, declared: pa.Array) -> pa.Array:
-        out: dict[str, list] = {b: [] for b in blobs}
+        out = {b: Texts() for b in blobs}
         broken = []
         for text, prefixes in zip(batch, declared):
             entry = None
@@ -91,8 +110,6 @@ def entry_blobs(raw: Column, profile: str, blobs: tuple[str, ...] = BLOBS, names
             broken.append(text.is_valid and entry is None)
             for b in blobs:
                 out[b].append(None if entry is None else _to_json(_members(entry, b, standard)))
-        return pa.StructArray.from_arrays(
-            [*(pa.array(out[b], pa.string()) for b in blobs), pa.array(broken, pa.bool_())], names=[*blobs, "broken"]
-        )
+        return pa.StructArray.from_arrays([*(out[b].finish() for b in blobs), pa.array(broken, pa.bool_())], names=[*blobs, "broken"])
 
     return parse(raw, F.lit(None).cast("string") if namespaces is None else namespaces)
