@@ -91,9 +91,19 @@ def cut_fragments(
     rows = rows.withColumn("at", F.regexp_instr("bare", F.lit(start)))
     is_entry = F.col("at") > 0
     starts = F.regexp_count("bare", F.lit(start))
+    # Each pattern stands behind literals, or a pattern that starts with one, without which it can't match: most entries
+    # are searched for those alone.
+    bare = F.col("bare")
+    entry = F.expr("substr(bare, at)")
     # Prefixes in the entry itself; the document's head may declare some.
-    prefixed = F.expr("substr(bare, at)").rlike(r"</?[A-Za-z_][\w.\-]*:|\s[A-Za-z_][\w.\-]*:[\w.\-]+\s*=\s*[\"']")
-    other_tags = F.col("bare").rlike(rf"</?[^\s<>/:=\"'!?&;]+:{row_tag}[\s/>]|</{row_tag}\s+>")
+    prefixed = bare.contains(":") & (
+        entry.rlike(r"</?[A-Za-z_][\w.\-]*+:")
+        | (entry.rlike(r":[\w.\-]+\s*=\s*[\"']") & entry.rlike(r"\s[A-Za-z_][\w.\-]*:[\w.\-]+\s*=\s*[\"']"))
+    )
+    other_tags = (bare.contains(f":{row_tag}") & bare.rlike(rf"</?[^\s<>/:=\"'!?&;]+:{row_tag}[\s/>]")) | (
+        bare.contains(f"</{row_tag}") & bare.rlike(rf"</{row_tag}\s+>")
+    )
+    left_open = (bare.contains("<!") | bare.contains("<?")) & bare.rlike(_LEFT_OPEN)
     return rows.select(
         "dataset",
         "dataset_ord",
@@ -103,7 +113,7 @@ def cut_fragments(
         F.when(is_entry, F.concat(F.expr("substr(value, at)"), F.lit(close))).alias("raw_xml"),
         starts.alias("starts"),
         F.when(~is_entry, value).alias("tail"),
-        (F.col("bare").rlike(_LEFT_OPEN) | (starts > 1) | other_tags | (is_entry & prefixed)).alias("suspect"),
+        (left_open | (starts > 1) | other_tags | (is_entry & prefixed)).alias("suspect"),
         F.lit(None).cast("string").alias("namespaces"),
     )
 
