@@ -44,7 +44,7 @@ def input_files(spark: SparkSession, paths: Paths) -> DataFrame:
 def readable_paths(spark: SparkSession, paths: Paths) -> dict[str, str]:
     """Paths to read the input files by, by their name in a scan's ``file`` column."""
     files = spark.read.format("binaryFile").load(_listed(paths)).select("_metadata.file_path", "path")
-    return {r.file_path: r.path for r in files.toLocalIterator()}
+    return {r.file_path: r.path for r in files.collect()}  # two names a file, by one job
 
 
 def cut_fragments(
@@ -87,7 +87,9 @@ def cut_fragments(
         "value",
         bare.alias("bare"),
     )
-    rows = spread(rows, "ord", files=input_files(spark, paths), partitions=min_partitions)
+    # The listing of the scan names the files; another one, for their lengths, is made only if some can't be split.
+    if any(re.search(UNSPLITTABLE, f) for f in text.inputFiles()):
+        rows = spread(rows, "ord", files=input_files(spark, paths), partitions=min_partitions)
     rows = rows.withColumn("at", F.regexp_instr("bare", F.lit(start)))
     is_entry = F.col("at") > 0
     starts = F.regexp_count("bare", F.lit(start))

@@ -1,6 +1,7 @@
 """The lexer against an XML parser, for documents cut at any byte."""
 
 import random
+import re
 import xml.etree.ElementTree as ET
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from kbetl.operators import shred as sh
 from kbetl.operators.quality import load_violations
 from kbetl.plans.load import stage_entries
-from kbetl.sources import markup
+from kbetl.sources import entries, markup
 from kbetl.sources.entries import cut_fragments, incomplete_documents, scan_fragments, split_contexts, suspect_files
 
 TAGS = markup.Tags("entry")
@@ -146,3 +147,56 @@ def test_only_files_that_need_it_are_lexed(spark, write):
     assert rows(staged.where("primary_accession is not null"), "dataset", "primary_accession") == [("one", "A"), ("one", "B"), ("two", "C")]
     with pytest.raises(ValueError, match="CDATA"):
         scan_fragments(spark, folder + "/b.xml", row_tag="CDATA").count()
+
+
+def plain_patterns(value, row_tag="entry"):
+    """The suspect flag of a fragment without hidden parts, by its definition."""
+    at = re.search(rf"<{row_tag}[\s>]", value)
+    prefixed = at and re.search(r"</?[A-Za-z_][\w.\-]*:|\s[A-Za-z_][\w.\-]*:[\w.\-]+\s*=\s*[\"']", value[at.start() :], re.ASCII)
+    other = re.search(rf"</?[^\s<>/:=\"'!?&;]+:{row_tag}[\s/>]|</{row_tag}\s+>", value, re.ASCII)
+    return bool(re.search(r"<!--|<!\[CDATA\[|<\?|<!DOCTYPE[^>]*\[", value) or len(re.findall(rf"<{row_tag}[\s>]", value)) > 1 or other or prefixed)
+
+
+def test_suspects_are_those_of_the_plain_patterns(spark, write):
+    r = random.Random(5)
+    bits = ["<entry>", "<entry a='1'>", "</entry >", "<x:entry ", "x:entry", ":entry>", "</x:entry>", "<y:b>", "</y:b", " k:v = \"1\"", " k:v='", "\tk:", ":v=", "a:b", " 1:2='", "http://e.org", "<!--", "<![CDATA[", "<?", "<!", "<!DOCTYPE a [", " ", "é", "<b>", "/"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(1, 6))) for _ in range(400)]
+    # Pieces that can hide something, or be an empty entry, are looked at after hiding it: not by this definition.
+    texts = [t for t in texts if not re.search(r"(?s)<!--.*-->|<!\[CDATA\[.*\]\]>|<\?.*\?>|<!DOCTYPE.*>|<entry(\s[^<>]*)?/>", t)]
+    path = write("</entry>".join(texts) + "</entry>", "s.xml")
+    found = [x.suspect for x in cut_fragments(spark, path).orderBy("ord").collect()]
+    assert found == [plain_patterns(t) for t in texts] and 50 < sum(found) < len(found) - 50
+
+
+def test_patterns_stand_behind_literals(spark, write):
+    suspect = cut_fragments(spark, write(document(entry("P1"))))._jdf.queryExecution().analyzed().toString().lower()
+    assert all(f"contains(bare#{n}, {literal})" in re.sub(r"bare#\d+", "bare#0", suspect) for n in (0,) for literal in (":", ":entry", "</entry", "<!", "<?"))
+
+
+def test_plain_files_are_listed_once(spark, write, monkeypatch):
+    plain = write(document(entry("P1")), "p.xml")
+    packed = write(document(entry("P2"), entry("P3")), "q.xml.gz")
+
+    def listing(*_):
+        raise AssertionError("listed once more")
+
+    monkeypatch.setattr(entries, "input_files", listing)
+    assert cut_fragments(spark, plain).count() == 2
+    with pytest.raises(AssertionError, match="once more"):
+        cut_fragments(spark, [plain, packed])
+    monkeypatch.undo()
+    assert cut_fragments(spark, [plain, packed]).count() == 5
+
+
+def test_names_of_files_are_read_by_one_job(spark, write):
+    paths = [write(document(entry(f"P{i}")), f"f{i}.xml") for i in range(6)]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    spark.sparkContext.setJobGroup("names", "names")
+    try:
+        named = entries.readable_paths(spark, paths)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("names")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(named) == 6 and len(jobs) == 1
