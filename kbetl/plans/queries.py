@@ -285,17 +285,6 @@ def dedup_counts(spark: SparkSession, sf: str) -> DataFrame:
     return duplicates_removed(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-def _name_after_folders(spark: SparkSession, path: str, ending: str) -> None:
-    """Move the one file in each ``<path>/<a>/part=<b>`` to ``<path>/<a>/<b><ending>``."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(path)
-    system = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/*/part=*/part-*")):
-        folder = status.getPath().getParent()
-        name = folder.getName().removeprefix("part=") + ending
-        system.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(folder.getParent(), name))
-
-
 @query
 def verify_checksums(spark: SparkSession, sf: str) -> DataFrame:
     """Texts as files, one folder a language, whose names repeat in all folders; the manifests miss German files
@@ -304,10 +293,8 @@ def verify_checksums(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select(
         "lang", F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 5_000)).alias("part"), "doc_id", F.col("text").alias("value")
     )
-    sorted_ = docs.repartition("lang", "part").sortWithinPartitions("lang", "part", "doc_id")
-    sorted_.select("lang", "part", "value").write.partitionBy("lang", "part").text(path)
-    _name_after_folders(spark, path, ".gz")
-    files = release_files.file_checksums(spark, f"{path}/lang=*/*.gz")
+    release_files.write_files(docs, path, "lang", "part", ["doc_id"], ".gz")
+    files = release_files.file_checksums(spark, f"{path}/lang=*", "*.gz")
     content = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "value"))), lambda x: x["value"]), "\n")
     wrong = F.when(F.col("part").startswith("src1-"), "!").otherwise("\n")
     listed = docs.where(F.col("lang") != "de").groupBy("lang", "part").agg(content.alias("content")).select(

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import sys
-from collections.abc import Iterator, Mapping
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -106,13 +109,61 @@ def release_catalog(dates: DataFrame, notes: DataFrame, on: str = "release") ->
     return dated.join(counted, on, "left").fillna(0, ["swissprot_entry_count", "trembl_entry_count"])
 
 
-def file_checksums(spark: SparkSession, paths: Paths) -> DataFrame:
+# What file names can't hold, as Spark escapes it in names of partition folders, and its name for no value.
+_UNSAFE = re.compile(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _safe_name(value: str | None) -> str:
+    return _UNSAFE.sub(lambda m: f"%{ord(m[0]):02X}", value) if value else _NO_VALUE
+
+
+def write_files(lines: DataFrame, path: str, folder: str, name: str, order: Sequence[str], ending: str = "") -> None:
+    """Write each group of rows as ``<path>/<folder>=<value>/<value of name><ending>``, its column ``value`` as lines.
+
+    Rows of a file follow ``order``. A task writes its files one by one, as the rows come, under a hidden name until they
+    are whole; so a task that is run again, or runs twice, leaves the same files.
+    """
+    # An empty text and none give the same name.
+    named = lines.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in (folder, name)})
+    rows = named.repartition(folder, name).sortWithinPartitions(folder, name, *order)
+    rows = rows.select(F.col(folder).alias("folder"), F.col(name).alias("name"), F.col("value").cast("binary").alias("value"))
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = _file_system(path)
+        is_open, stream, draft, whole, n_files = None, None, "", "", 0
+        for batch in batches:
+            for key in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if key[:2] != is_open or stream is None:
+                    if stream is not None:
+                        stream.close()
+                        system.move(draft, whole)
+                    target = f"{base}/{folder}={_safe_name(key[0])}"
+                    system.create_dir(target, recursive=True)
+                    draft, whole = f"{target}/.{uuid.uuid4().hex}", f"{target}/{_safe_name(key[1])}{ending}"
+                    is_open, stream, n_files = key[:2], system.open_output_stream(draft, compression=None), n_files + 1
+                stream.write((key[2] or b"") + b"\n")
+        if stream is not None:
+            stream.close()
+            system.move(draft, whole)
+        yield pa.RecordBatch.from_pydict({"n_files": pa.array([n_files], pa.int64())})
+
+    rows.mapInArrow(written, "n_files long").write.format("noop").mode("overwrite").save()
+
+
+def file_checksums(spark: SparkSession, paths: Paths, names: str | None = None) -> DataFrame:
     """(release, filename, md5) of files; the release is the folder a file lies in.
 
+    With ``names``, a glob of file names, ``paths`` are folders: many files are better named so, as Spark lists a folder
+    at once but every path of its own by a task.
+
     Files that fit a binary value are read by Spark, from any store. Larger ones are read in chunks by the task,
     one file per task, through the client of their scheme (local files, hdfs, s3a, gs, abfs); the sums are equal.
     """
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    reader = spark.read.format("binaryFile")
+    if names is not None:
+        reader = reader.option("pathGlobFilter", names)
+    files = reader.load(paths if isinstance(paths, str) else list(paths))
     parts = F.split("path", "/")
     release, name = F.element_at(parts, -2).alias("release"), F.element_at(parts, -1).alias("filename")
     small = files.where(F.col("length") <= _WHOLE_FILE_BYTES).select(release, name, F.md5("content").alias("md5"))
@@ -125,14 +176,19 @@ def file_checksums(spark: SparkSession, paths: Paths) -> DataFrame:
 _SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
 
 
-def _hash_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _file_system(path: str):
+    """The client of a path's scheme, and the path in it."""
     from pyarrow import fs
 
+    scheme, colon, rest = path.partition(":")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}" if colon else path)
+
+
+def _hash_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sums = []
         for path in batch["path"]:
-            scheme, colon, rest = path.partition(":")
-            system, inner = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}" if colon else path)
+            system, inner = _file_system(path)
             md5 = hashlib.md5()
             with system.open_input_stream(inner, compression=None) as stream:
                 while chunk := stream.read(_CHUNK_BYTES):

@@ -79,6 +79,27 @@ def test_checksums(spark, tmp_path, monkeypatch, whole_file_bytes):
     ]
 
 
+def test_files_are_written_by_their_names_and_listed_by_folder(spark, tmp_path):
+    lines = [("r", f"f{n % 40}", n, f"é {n}" if n % 50 else None) for n in range(200)]
+    lines += [("a/b", "x:[1]", 2, "two"), ("a/b", "x:[1]", 1, "one"), ("", "e", 0, "no"), (None, "e", 1, "folder"), ("r", None, 0, "n"), ("r", "", 1, "m")]
+    df = spark.createDataFrame(lines, "rel string, part string, n int, value string").repartition(3)
+    rf.write_files(df, f"file:{tmp_path}/out", "rel", "part", ["n"], ".gz")
+    found = {f"{f.parent.name}/{f.name}": f.read_text() for f in (tmp_path / "out").glob("*/*")}
+    none = "__HIVE_DEFAULT_PARTITION__"
+    expected = {f"rel=r/f{k}.gz": "".join((v or "") + "\n" for _, p, _, v in lines[:200] if p == f"f{k}") for k in range(40)}
+    assert found == expected | {"rel=a%2Fb/x%3A%5B1%5D.gz": "one\ntwo\n", f"rel={none}/e.gz": "no\nfolder\n", f"rel=r/{none}.gz": "n\nm\n"}
+
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        files = rf.file_checksums(spark, f"{tmp_path}/out/rel=*", "*.gz")
+        listing = spark.sparkContext.statusTracker().getJobIdsForGroup("listing")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(listing) == 0
+    # As before, a name with a leading underscore is none of the data.
+    assert rows(files) == rows(rf.file_checksums(spark, f"{tmp_path}/out/rel=*/*.gz")) and files.count() == 42
+
+
 def test_same_file_name_in_two_releases(spark, tmp_path):
     for release, data in (("r1", b"one"), ("r2", b"two")):
         (tmp_path / release).mkdir()
