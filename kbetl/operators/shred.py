@@ -80,8 +80,14 @@ def _tax_ref(raw: Column, organism: Column, sound: Column) -> Column:
     return empty_to_null(value)
 
 
+# One attribute, and the start tag of a GO reference up to its id: group 2 is the id.
+_ATTRIBUTE = r"""(?:\s+[^\s=<>"']+\s*=\s*(?:"[^"<]*"|'[^'<]*'))"""
+_GO_TAG = rf"""<dbReference(?={_ATTRIBUTE}*?\s+type\s*=\s*(?:"{GO}"|'{GO}')){_ATTRIBUTE}*?\s+id\s*=\s*(["'])((?:(?!\1)[^<])*+)\1"""
+
+
 def _go_ids(raw: Column, references: Column, sound: Column) -> Column:
-    """Ids of GO references at any depth; the tree is only built if some are not direct children.
+    """Ids of GO references at any depth. Direct children come from the parse. Deeper ones are found by their tags if
+    nothing hidden can hold a tag and no id needs to be unescaped; only else the tree is built.
 
     ``sound`` keeps the tree from being built of an entry that is known to be malformed: that would end the job.
     """
@@ -90,9 +96,13 @@ def _go_ids(raw: Column, references: Column, sound: Column) -> Column:
     none = ~(raw.contains(quoted[0]) | raw.contains(quoted[1]))
     mentions = _occurrences(raw, quoted[0]) + _occurrences(raw, quoted[1])
     all_direct = none | (mentions == F.size(direct))
-    ids = F.when(
-        _without_references(raw) & all_direct, F.transform(direct, lambda r: r["_id"])
-    ).when(sound, F.xpath(raw, F.lit(f'//dbReference[@type="{GO}"]/@id')))
+    plain = _without_references(raw)
+    tagged = F.when(sound & plain & ~raw.contains("<!") & ~raw.contains("<?"), F.regexp_extract_all(raw, F.lit(_GO_TAG), F.lit(2)))
+    ids = (
+        F.when(plain & all_direct, F.transform(direct, lambda r: r["_id"]))
+        .when(~F.exists(tagged, lambda i: i.rlike(r"[&\t\r\n]")), tagged)
+        .when(sound, F.xpath(raw, F.lit(f'//dbReference[@type="{GO}"]/@id')))
+    )
     return F.filter(ids, lambda i: i != "")
 
 

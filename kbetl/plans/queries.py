@@ -23,7 +23,9 @@ from ..sources.star_entries import (
     XML_TAIL,
     as_fragments,
     document_entries,
+    document_xml,
     part_entries,
+    part_xml,
     read_table,
     spread_table,
     write_documents,
@@ -62,8 +64,8 @@ def parsed(spark: SparkSession, sf: str, *tables: str, profile: str = "full") ->
 def documents_on_disk(spark: SparkSession, sf: str) -> dict[str, str]:
     """Both datasets written as documents: parts plain (splittable), texts gzipped."""
     base = scratch_dir(spark, "documents")
-    write_documents(part_entries(read_table(spark, sf, "part")), f"{base}/part", 5_000)
-    write_documents(document_entries(read_table(spark, sf, "documents")), f"{base}/documents", 1_000, gzip=True)
+    write_documents(read_table(spark, sf, "part"), f"{base}/part", 5_000, key="p_partkey", raw_xml=part_xml())
+    write_documents(read_table(spark, sf, "documents"), f"{base}/documents", 1_000, gzip=True, key="doc_id", raw_xml=document_xml())
     return {"part": f"{base}/part", "documents": f"{base}/documents"}
 
 
@@ -86,11 +88,11 @@ def scan_then_shred_genes(spark: SparkSession, sf: str) -> DataFrame:
 def scan_commented_entries(spark: SparkSession, sf: str) -> DataFrame:
     """Texts as written documents whose comments hold an entry's close tag in a section; every third entry stands in a
     comment twice more."""
-    docs = document_entries(spread_table(spark, sf, "documents", "doc_id"))
-    raw = F.replace("raw_xml", F.lit("</text></comment>"), F.lit("<![CDATA[ </entry>]]></text></comment>"))
+    docs = spread_table(spark, sf, "documents", "doc_id")
+    raw = F.replace(document_xml(), F.lit("</text></comment>"), F.lit("<![CDATA[ </entry>]]></text></comment>"))
     repeated = F.concat(raw, F.lit("\n<!-- "), raw, raw, F.lit(" -->"))
     path = scratch_dir(spark, "commented")
-    write_documents(docs.withColumn("raw_xml", F.when(F.col("key") % 3 == 0, repeated).otherwise(raw)), path, 1_000)
+    write_documents(docs, path, 1_000, key="doc_id", raw_xml=F.when(F.col("doc_id") % 3 == 0, repeated).otherwise(raw))
     proteins = sh.shred_proteins(sh.parse_entry(scan.dataset_union(spark, {"documents": path}), "full", ["proteins"]))
     text = lookup.json_field(F.col("comments_data"), "$[0].children[0].text")
     return proteins.select("primary_accession", text.alias("comment_text"))
@@ -163,9 +165,10 @@ def json_tree_comments_standard(spark: SparkSession, sf: str) -> DataFrame:
 def json_tree_prefixed(spark: SparkSession, sf: str) -> DataFrame:
     """Texts as written documents with a prefixed attribute whose prefix the root declares."""
     docs = spread_table(spark, sf, "documents", "doc_id")
-    prefixed = document_entries(docs).withColumn("raw_xml", F.regexp_replace("raw_xml", '<comment type="', '<comment x:kind="text" type="'))
+    prefixed = F.regexp_replace(document_xml(), '<comment type="', '<comment x:kind="text" type="')
     path = scratch_dir(spark, "prefixed")
-    write_documents(prefixed, path, 1_000, head=XML_HEAD.replace(" xmlns=", ' xmlns:x="http://example.org/x" xmlns='))
+    head = XML_HEAD.replace(" xmlns=", ' xmlns:x="http://example.org/x" xmlns=')
+    write_documents(docs, path, 1_000, head=head, key="doc_id", raw_xml=prefixed)
     raw = scan.dataset_union(spark, {"documents": path})
     proteins = sh.shred_proteins(sh.parse_entry(raw, "full", ["proteins"]))
     kind = lookup.json_field(F.col("comments_data"), "$[0].attributes['{http://example.org/x}kind']")
@@ -210,7 +213,7 @@ def incomplete_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Texts written as documents of up to 50 entries; every third document ends in the middle of its root's close tag."""
     path = scratch_dir(spark, "cut")
     cut = F.when(F.col("doc") % 3 == 0, XML_TAIL.rstrip()[:-3]).otherwise(XML_TAIL)
-    write_documents(document_entries(spread_table(spark, sf, "documents", "doc_id")), path, 50, tail=cut)
+    write_documents(spread_table(spark, sf, "documents", "doc_id"), path, 50, tail=cut, key="doc_id", raw_xml=document_xml())
     found = scan.incomplete_documents(scan.scan_fragments(spark, path, "documents"))
     number = F.regexp_extract("file", r"/doc=(\d+)/", 1).cast("bigint")
     return found.select("dataset", number.alias("document"), "closed_tails")
@@ -777,7 +780,7 @@ def load_release_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 def _release_on_disk(spark: SparkSession, part: DataFrame) -> dict[str, str]:
     path = scratch_dir(spark, "release")
-    write_documents(part_entries(part), path, 5_000)
+    write_documents(part, path, 5_000, key="p_partkey", raw_xml=part_xml())
     return {"part": path}
 
 

@@ -29,6 +29,9 @@ FILE_ORDER = ("dataset_ord", "file", "block", "ord")
 # What can hold markup that isn't markup.
 _HIDDEN = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<!DOCTYPE[^\[>]*\[.*?\]\s*>"
 _LEFT_OPEN = r"<!--|<!\[CDATA\[|<\?|<!DOCTYPE[^>]*\["
+# A colon behind what may be a tag's prefix (a name of 33 characters may be one of any length), or before what may be the
+# rest of an attribute's name.
+_PREFIX_COLON = r":(?:(?<=</?[A-Za-z_][\w.\-]{0,31}:)|(?<=[\w.\-]{33}:)|[\w.\-]+\s*=\s*[\"'])"
 _COLUMNS = ("dataset", "dataset_ord", "file", "block", "ord", "raw_xml", "starts", "tail", "suspect", "namespaces")
 
 
@@ -73,8 +76,9 @@ def cut_fragments(
     start = rf"<{row_tag}[\s>]"
     text = spark.read.option("lineSep", close).text(_listed(paths))
     value = F.col("value")
+    hides = value.contains("<!") | value.contains("<?")
     bare = F.when(
-        value.contains("<!") | value.contains("<?") | value.rlike(rf"<{row_tag}(?:\s[^<>]*)?/>"),
+        hides | value.rlike(rf"<{row_tag}(?:\s[^<>]*)?/>"),
         # Hidden parts keep their length, so that places in the text stay true.
         F.regexp_replace(_blanked(value, _HIDDEN), rf"<{row_tag}(?=(?:\s[^<>]*)?/>)", "<" + "-" * len(row_tag)),
     ).otherwise(value)
@@ -85,6 +89,7 @@ def cut_fragments(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("ord"),
         "value",
+        hides.alias("hides"),
         bare.alias("bare"),
     )
     # The listing of the scan names the files; another one, for their lengths, is made only if some can't be split.
@@ -97,15 +102,14 @@ def cut_fragments(
     # are searched for those alone.
     bare = F.col("bare")
     entry = F.expr("substr(bare, at)")
-    # Prefixes in the entry itself; the document's head may declare some.
-    prefixed = bare.contains(":") & (
-        entry.rlike(r"</?[A-Za-z_][\w.\-]*+:")
-        | (entry.rlike(r":[\w.\-]+\s*=\s*[\"']") & entry.rlike(r"\s[A-Za-z_][\w.\-]*:[\w.\-]+\s*=\s*[\"']"))
+    # Prefixes in the entry itself; the document's head may declare some. Only the colons are looked at in most entries.
+    prefixed = bare.contains(":") & bare.rlike(_PREFIX_COLON) & (
+        entry.rlike(r"</?[A-Za-z_][\w.\-]*+:") | entry.rlike(r"\s[A-Za-z_][\w.\-]*:[\w.\-]+\s*=\s*[\"']")
     )
     other_tags = (bare.contains(f":{row_tag}") & bare.rlike(rf"</?[^\s<>/:=\"'!?&;]+:{row_tag}[\s/>]")) | (
         bare.contains(f"</{row_tag}") & bare.rlike(rf"</{row_tag}\s+>")
     )
-    left_open = (bare.contains("<!") | bare.contains("<?")) & bare.rlike(_LEFT_OPEN)
+    left_open = F.col("hides") & (bare.contains("<!") | bare.contains("<?")) & bare.rlike(_LEFT_OPEN)
     return rows.select(
         "dataset",
         "dataset_ord",

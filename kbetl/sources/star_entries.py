@@ -31,14 +31,13 @@ def _case(condition: Column, *parts: Column | str) -> Column:
     return F.when(condition, _cat(*parts)).otherwise("")
 
 
-def part_entries(part: DataFrame) -> DataFrame:
-    """``(key, raw_xml)``, one entry per part; which parts an entry has depends on type and size."""
-    k = F.col("p_partkey")
-    key = k.cast("string")
+def part_xml() -> Column:
+    """The entry of a ``part`` row; which parts an entry has depends on type and size."""
+    key = F.col("p_partkey").cast("string")
     name, brand, kind = (escaped(F.col(c)) for c in ("p_name", "p_brand", "p_type"))
     size = F.col("p_size").cast("string")
     has_name = F.col("p_type") != "PROMO"
-    raw = _cat(
+    return _cat(
         '<entry dataset="part" created="1998-02-03" modified="2021-11-05" version="3">\n',
         "  <accession>P", key, "</accession>\n",
         _case(F.col("p_type").isin("ECONOMY", "SMALL"), "  <accession>S", key, "</accession>\n"),
@@ -66,17 +65,21 @@ def part_entries(part: DataFrame) -> DataFrame:
         '  <sequence length="', F.length("p_name").cast("string"), '" mass="', size, '">\n',
         name, "\n", brand, "\n</sequence>\n</entry>",
     )
-    return part.select(k.alias("key"), raw.alias("raw_xml"))
 
 
-def document_entries(documents: DataFrame, escape: bool = True) -> DataFrame:
-    """``(key, raw_xml)``, one entry per document: the text is comment and sequence.
+def part_entries(part: DataFrame) -> DataFrame:
+    """``(key, raw_xml)``, one entry per part."""
+    return part.select(F.col("p_partkey").alias("key"), part_xml().alias("raw_xml"))
+
+
+def document_xml(escape: bool = True) -> Column:
+    """The entry of a ``documents`` row: the text is comment and sequence.
 
     Without ``escape`` a text with markup characters makes its entry malformed.
     """
     key = F.col("doc_id").cast("string")
     text = escaped(F.col("text")) if escape else F.col("text")
-    raw = _cat(
+    return _cat(
         '<entry dataset="documents" created="2005-06-07" modified="2022-01-09" version="1">\n',
         "  <accession>D", key, "</accession>\n",
         "  <name>DOC_", key, "</name>\n",
@@ -87,7 +90,11 @@ def document_entries(documents: DataFrame, escape: bool = True) -> DataFrame:
         '  <keyword id="L-', F.col("lang"), '">', F.col("lang"), "</keyword>\n",
         '  <sequence length="', F.col("n_chars").cast("string"), '">', text, "</sequence>\n</entry>",
     )
-    return documents.select(F.col("doc_id").alias("key"), raw.alias("raw_xml"))
+
+
+def document_entries(documents: DataFrame, escape: bool = True) -> DataFrame:
+    """``(key, raw_xml)``, one entry per document."""
+    return documents.select(F.col("doc_id").alias("key"), document_xml(escape).alias("raw_xml"))
 
 
 def as_fragments(entries: DataFrame, dataset: str, dataset_ord: int = 0) -> DataFrame:
@@ -103,30 +110,39 @@ def as_fragments(entries: DataFrame, dataset: str, dataset_ord: int = 0) -> Data
 
 
 def write_documents(
-    entries: DataFrame, path: str, per_document: int = 100_000, gzip: bool = False, head: str = XML_HEAD, tail: Column | str = XML_TAIL
+    entries: DataFrame,
+    path: str,
+    per_document: int = 100_000,
+    gzip: bool = False,
+    head: str = XML_HEAD,
+    tail: Column | str = XML_TAIL,
+    key: Column | str = "key",
+    raw_xml: Column | str = "raw_xml",
 ) -> None:
     """Write entries as complete documents of up to ``per_document`` consecutive keys each.
 
-    ``tail`` may depend on the number of the document, ``doc``.
+    ``tail`` may depend on the number of the document, ``doc``. ``raw_xml`` may be computed from columns of the rows, for
+    instance by :func:`part_xml`: then these are shuffled, and the tasks that write the documents render them.
 
     The head and tail rows of a document sort around its entries; each document is one file.
     """
-    doc = F.floor(F.col("key") / per_document).alias("doc")
-    body = entries.select(doc, F.lit(1).alias("place"), F.col("key"), F.col("raw_xml").alias("value"))
-    ends = entries.select(doc).distinct().select(
-        "doc",
+    key, raw_xml = (F.col(c) if isinstance(c, str) else c for c in (key, raw_xml))
+    doc = F.floor(key / per_document)
+    body = entries.select("*", doc.alias("_doc"), F.lit(1).alias("_place"), key.alias("_key"), F.lit(None).cast("string").alias("_end"))
+    ends = entries.select(doc.alias("doc")).distinct().select(
+        F.col("doc").alias("_doc"),
         F.inline(
             F.array(
-                F.struct(F.lit(0).alias("place"), F.lit(0).cast("bigint").alias("key"), F.lit(head).alias("value")),
-                F.struct(F.lit(2).alias("place"), F.lit(0).cast("bigint").alias("key"), (F.lit(tail) if isinstance(tail, str) else tail).alias("value")),
+                F.struct(F.lit(0).alias("_place"), F.lit(0).cast("bigint").alias("_key"), F.lit(head).alias("_end")),
+                F.struct(F.lit(2).alias("_place"), F.lit(0).cast("bigint").alias("_key"), F.lit(tail).alias("_end")),
             )
         ),
     )
     (
-        body.unionByName(ends)
-        .repartition("doc")
-        .sortWithinPartitions("doc", "place", "key")
-        .select("doc", "value")
+        body.unionByName(ends, allowMissingColumns=True)
+        .repartition("_doc")
+        .sortWithinPartitions("_doc", "_place", "_key")
+        .select(F.col("_doc").alias("doc"), F.when(F.col("_place") == 1, raw_xml).otherwise(F.col("_end")).alias("value"))
         .write.partitionBy("doc")
         .option("compression", "gzip" if gzip else "none")
         .text(path)

@@ -173,6 +173,15 @@ def test_patterns_stand_behind_literals(spark, write):
     assert all(f"contains(bare#{n}, {literal})" in re.sub(r"bare#\d+", "bare#0", suspect) for n in (0,) for literal in (":", ":entry", "</entry", "<!", "<?"))
 
 
+def test_prefixes_of_any_length_are_suspects(spark, write):
+    texts = [f"<entry><{'/' * (n % 2)}{'n' * n}{c}b> a:b 1:2" for n in (1, 31, 32, 33, 34, 90) for c in (":", ";:", ".:")]
+    path = write("</entry>".join(texts) + "</entry>", "s.xml")
+    cut = cut_fragments(spark, path)
+    assert [x.suspect for x in cut.orderBy("ord").collect()] == [plain_patterns(t) for t in texts] == [True, False, True] * 6
+    # The exact patterns stand behind one that looks at colons only.
+    assert "RLIKE(bare#0, :(" in re.sub(r"bare#\d+", "bare#0", cut._jdf.queryExecution().analyzed().toString())
+
+
 def test_plain_files_are_listed_once(spark, write, monkeypatch):
     plain = write(document(entry("P1")), "p.xml")
     packed = write(document(entry("P2"), entry("P3")), "q.xml.gz")
