@@ -78,7 +78,7 @@ def cut_fragments(
     value = F.col("value")
     hides = value.contains("<!") | value.contains("<?")
     bare = F.when(
-        hides | value.rlike(rf"<{row_tag}(?:\s[^<>]*)?/>"),
+        F.col("hides") | value.rlike(rf"<{row_tag}(?:\s[^<>]*)?/>"),
         # Hidden parts keep their length, so that places in the text stay true.
         F.regexp_replace(_blanked(value, _HIDDEN), rf"<{row_tag}(?=(?:\s[^<>]*)?/>)", "<" + "-" * len(row_tag)),
     ).otherwise(value)
@@ -89,13 +89,12 @@ def cut_fragments(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("ord"),
         "value",
-        hides.alias("hides"),
-        bare.alias("bare"),
     )
     # The listing of the scan names the files; another one, for their lengths, is made only if some can't be split.
     if any(re.search(UNSPLITTABLE, f) for f in text.inputFiles()):
         rows = spread(rows, "ord", files=input_files(spark, paths), partitions=min_partitions)
-    rows = rows.withColumn("at", F.regexp_instr("bare", F.lit(start)))
+    # Behind that shuffle: only the text itself is sent.
+    rows = rows.withColumn("hides", hides).withColumn("bare", bare).withColumn("at", F.regexp_instr("bare", F.lit(start)))
     is_entry = F.col("at") > 0
     starts = F.regexp_count("bare", F.lit(start))
     # Each pattern stands behind literals, or a pattern that starts with one, without which it can't match: most entries
